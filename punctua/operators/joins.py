@@ -32,8 +32,8 @@ def hot_keys(df: DataFrame, on: list[str], share: float = 0.01) -> DataFrame:
     whatever the size of ``df``.
     """
     per_key = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = F.broadcast(per_key.groupBy().agg(F.sum("__n").alias("__all")))  # one row
-    return per_key.join(total, F.col("__n") > F.col("__all") * F.lit(share)).drop("__all")
+    total = per_key.groupBy().agg(F.sum("__n"))
+    return per_key.filter(F.col("__n") > total.scalar() * F.lit(share))
 
 
 def skew_join(

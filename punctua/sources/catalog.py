@@ -56,10 +56,8 @@ def holdout(df: DataFrame, n: int, key: list[str], seed: int = 0) -> tuple[DataF
     """
     drawn = df.withColumn("__draw", F.struct(_draw(df, seed, key), *key))
     last = sample_n(df.select(*key), n, seed, key).withColumn("__draw", F.struct(_draw(df, seed, key), *key))
-    edge = last.agg(F.max("__draw").alias("__edge"))
-    marked = drawn.join(F.broadcast(edge), F.lit(True), "left")  # one row
-    out = F.coalesce(F.col("__draw") <= F.col("__edge"), F.lit(False))
-    return marked.filter(~out).drop("__draw", "__edge"), marked.filter(out).drop("__draw", "__edge")
+    out = F.coalesce(F.col("__draw") <= last.agg(F.max("__draw")).scalar(), F.lit(False))
+    return drawn.filter(~out).drop("__draw"), drawn.filter(out).drop("__draw")
 
 
 def _draw(df: DataFrame, seed: int, key: list[str] | None):

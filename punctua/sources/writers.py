@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def materialise(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
@@ -40,8 +40,6 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "
     near ``parts`` per partition; the extra hash column lets a partition that
     holds most of the rows be written by several tasks.
     """
-    from pyspark.sql import functions as F
-
     spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(parts))
     df.withColumn("__p", spread).repartition(*by, "__p").drop("__p").write.mode("overwrite").partitionBy(*by).orc(path)
     return path
