@@ -12,7 +12,7 @@ from punctua.functions.times import (
     DAY_PATTERN, MINUTE_PATTERN, clock_seconds, day_name, in_clock_window, minute_slots, safe_date, safe_ts,
 )
 from punctua.operators.joins import within_span
-from punctua.operators.ordering import running
+from punctua.operators.ordering import chunk_if_long, running
 from punctua.operators.relational import prefix_columns, union_edges
 from punctua.sources.schemas import BUSINESS_DAYS
 
@@ -113,11 +113,12 @@ def trip_edges(
 
     ``table`` has trip_id, stop_id, arrival, departure and further columns of
     the trip, which the edge keeps.  ``order`` must be a total order within the
-    trip; a trip is processed in chunks of its sequence.  Edges that run back in
-    time are dropped.
+    trip; an overlong trip is processed in chunks of its first order column.
+    Edges that run back in time are dropped.
     """
     order = order or ["stop_sequence", "departure", "arrival", "stop_id"]
     chunk = F.floor(F.col(order[0]) / F.lit(512)) if chunk is None else chunk
+    chunk = chunk_if_long(table, ["trip_id"], chunk)
     here = F.struct("stop_id", "arrival")
     rows = running(table, ["trip_id"], order, {"__next": ("last", here)}, chunk, descending=True)
     edges = rows.filter(F.col("__next").isNotNull())

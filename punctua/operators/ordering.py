@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from punctua.session import cut_lineage
 
+#: A window over this many rows is fine for one task.
+SMALL_GROUP = 200_000
+
 _GROUP, _CHUNK, _CARRY = "__group", "__chunk", "__carry"
 
 
@@ -20,7 +23,7 @@ def running(
     keys: list[str],
     order: list[str],
     out: dict[str, tuple[str, Column]],
-    chunk: Column,
+    chunk: Column | None,
     descending: bool = False,
     inclusive: bool = False,
 ) -> DataFrame:
@@ -29,9 +32,15 @@ def running(
     ``out`` maps a new column to ``(kind, value)``: ``sum``, ``max`` or ``last``
     (the latest non-NULL value) over the rows before the current one, or up to
     it when ``inclusive``.  ``chunk`` must not decrease along ``order``; it
-    bounds how many rows of a key meet in a task.  With ``descending`` the rows
-    are taken from the end, so that ``last`` reads the next row's value.
+    bounds how many rows of a key meet in a task.  None stands for groups known
+    to be small, see :func:`chunk_if_long`.  With ``descending`` the rows are
+    taken from the end, so that ``last`` reads the next row's value.
     """
+    if chunk is None:
+        step = F.desc if descending else F.asc
+        w = Window.partitionBy(*keys).orderBy(*[step(c) for c in order])
+        w = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        return df.withColumns({name: _frame(kind, value).over(w) for name, (kind, value) in out.items()})
     values = {f"__v_{name}": value for name, (_, value) in out.items()}
     rows = df.withColumns({**values, _CHUNK: chunk})
     rows = rows.withColumn(_GROUP, F.struct(*keys, _CHUNK))
@@ -79,6 +88,17 @@ def _merge(kind: str, carried: Column, local: Column) -> Column:
     return F.coalesce(carried + local, carried, local)
 
 
+def chunk_if_long(df: DataFrame, keys: list[str], chunk: Column, most: int = SMALL_GROUP) -> Column | None:
+    """``chunk`` if some key has more than ``most`` rows, else None.
+
+    Groups are nearly always short, and then one plain window is the better
+    plan.  The check counts rows per key, which each task does on its own rows
+    first.
+    """
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    return chunk if (longest or 0) > most else None
+
+
 def every(col: str, width: int) -> Column:
     """Chunk number of an integer order column."""
     return F.floor(F.col(col) / F.lit(width))

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from punctua.operators.ordering import every_seconds, running
+from punctua.operators.ordering import chunk_if_long, every_seconds, running
 from punctua.operators.series import time_series_folds
 
 #: Up to this many columns the products are summed by plain expressions.
@@ -222,7 +222,7 @@ def impact(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str], pre:
     rows = rows.withColumn("predicted", guess).withColumn("effect", F.col(y) - F.col("predicted"))
     rows = running(
         rows, keys, [ts], {"cumulative_effect": ("sum", F.col("effect")), "__k": ("sum", F.lit(1.0))},
-        every_seconds(ts, 30 * 86400), inclusive=True,
+        chunk_if_long(df, keys, every_seconds(ts, 30 * 86400)), inclusive=True,
     )
     half = F.col("__sigma") * F.lit(Z_95)
     return rows.withColumns(

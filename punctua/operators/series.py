@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from punctua.operators.ordering import every_seconds, number_rows, running
+from punctua.operators.ordering import chunk_if_long, every_seconds, number_rows, running
 
 
 def floor_time(ts: str, step: int) -> Column:
@@ -48,10 +48,10 @@ def interpolate_linear(df: DataFrame, keys: list[str], ts: str, cols: list[str],
     """Fill NULLs on the straight line between the known neighbours of a key.
 
     A gap at the end takes the last value, a gap at the start stays NULL.  The
-    neighbours are carried over chunks of ``chunk_seconds``, so a long series
-    is filled by many tasks.
+    neighbours in a long series are carried over chunks of ``chunk_seconds``, so
+    that it is filled by many tasks.
     """
-    chunk = every_seconds(ts, chunk_seconds)
+    chunk = chunk_if_long(df, keys, every_seconds(ts, chunk_seconds))
     at = F.unix_timestamp(F.col(ts)).cast("double")
     known = {c: F.when(F.col(c).isNotNull(), F.struct(at.alias("t"), F.col(c).alias("v"))) for c in cols}
     rows = running(df, keys, [ts], {f"__p_{c}": ("last", k) for c, k in known.items()}, chunk, inclusive=True)

@@ -11,9 +11,14 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, functions as F
 
 
-def materialise(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    """Store a query result as the managed ORC table ``name`` and return the table."""
-    df.write.format("orc").mode(mode).saveAsTable(name)
+# The default pattern would cut times to milliseconds.
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
+def materialise(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
+    """Store a query result as the ORC table ``name``, in the warehouse or under
+    ``path``, and return the table."""
+    df.write.format("orc").mode(mode).saveAsTable(name, path=path)
     return df.sparkSession.table(name)
 
 
@@ -24,7 +29,8 @@ def write_orc(df: DataFrame, path: str) -> str:
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
     """Directory of CSV parts, each with a header line."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("sep", sep)
+    writer.option("timestampNTZFormat", CSV_TIME).csv(path)
     return path
 
 
