@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from punctua.operators.ordering import chunk_if_long, every_seconds, running
 from punctua.operators.series import time_series_folds
@@ -47,16 +47,16 @@ def products(df: DataFrame, cols: list[str], shift: dict[str, float], by: str |
 
     Every task sums its own rows; one matrix per task is combined.
     """
-    rows = df.select(
-        (F.col(by).cast("int") if by else F.lit(0)).alias("__by"),
-        *[(F.col(f"`{c}`").cast("double") - F.lit(shift.get(c, 0.0))).alias(f"__{i}") for i, c in enumerate(cols)],
-    ).na.drop()
     size = len(cols) + 1
     at = [(i, j) for i in range(size) for j in range(i, size)]
+    group = (F.col(by).cast("int") if by else F.lit(0)).alias("__by")
+    values = [F.col(f"`{c}`").cast("double") - F.lit(shift.get(c, 0.0)) for c in cols]
     if len(cols) <= _EXPRESSION_COLUMNS:
-        value = [F.lit(1.0)] + [F.col(f"__{i}") for i in range(len(cols))]
-        sums = rows.groupBy("__by").agg(F.array(*[F.sum(value[i] * value[j]) for i, j in at]).alias("__s"))
+        rows = df.select(group, *[v.alias(f"__{i}") for i, v in enumerate(values)]).na.drop()
+        cell = [F.lit(1.0)] + [F.col(f"__{i}") for i in range(len(cols))]
+        sums = rows.groupBy("__by").agg(F.array(*[F.sum(cell[i] * cell[j]) for i, j in at]).alias("__s"))
     else:
+        rows = df.select(group, F.array(*values).alias("__v"))
         partial = rows.mapInPandas(_partial_products(size), "__by INT, __s ARRAY<DOUBLE>")
         flat = partial.select("__by", F.posexplode("__s").alias("__at", "__x"))
         cells = flat.groupBy("__by", "__at").agg(F.sum("__x").alias("__x"))
@@ -79,7 +79,8 @@ def _partial_products(size: int):
         held: dict[int, np.ndarray] = {}
         for pdf in batches:
             for key, part in pdf.groupby("__by"):
-                x = np.column_stack([np.ones(len(part)), part.drop(columns="__by").to_numpy(float)])
+                x = np.column_stack([np.ones(len(part)), np.stack(part["__v"].to_numpy()).astype(float)])
+                x = x[~np.isnan(x).any(axis=1)]
                 held[key] = held.get(key, 0.0) + x.T @ x
         if held:
             yield pd.DataFrame({"__by": list(held), "__s": [m[upper] for m in held.values()]})
@@ -163,15 +164,13 @@ def interval_band(predicted: DataFrame, interval: DataFrame, col: str) -> DataFr
     )
 
 
-def coefficients(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
+def coefficients(spark: SparkSession, fit: LinearFit) -> DataFrame:
     """Feature and coefficient, one row each."""
-    fit = fit_linear(df, y, xs)
-    return df.sparkSession.createDataFrame(list(zip(fit.features, fit.coefficients)), "feature STRING, coefficient DOUBLE")
+    return spark.createDataFrame(list(zip(fit.features, fit.coefficients)), "feature STRING, coefficient DOUBLE")
 
 
-def select_by_coefficient(df: DataFrame, y: str, xs: list[str]) -> list[str]:
+def select_by_coefficient(fit: LinearFit) -> list[str]:
     """Features whose absolute coefficient reaches the mean absolute coefficient."""
-    fit = fit_linear(df, y, xs)
     size = np.abs(fit.coefficients)
     return [x for x, s in zip(fit.features, size) if s >= size.mean()]
 

@@ -9,9 +9,8 @@ from punctua.operators import aggregates, relational, trends
 from punctua.plans.derived import (
     DAILY_SQL, LINE_EDGES_SQL, STOP_EVENTS_SQL, STOPS_SQL, T, line_edges, stop_events, stops, words,
 )
-from punctua.plans.registry import query
+from punctua.plans.registry import query, row_count
 
-N = F.count(F.lit(1)).alias("n")
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 

@@ -10,15 +10,13 @@ from punctua.functions.registry import register_aggregate, register_scalar
 from punctua.operators.aggregates import distinct_values
 from punctua.operators.trends import explode_hashtags
 from punctua.plans.derived import STOPS_SQL, T, bin_sql, distance_sql, line_delays, LINE_DELAYS_SQL, stops, words
-from punctua.plans.registry import query
-
-N = F.count(F.lit(1)).alias("n")
+from punctua.plans.registry import query, row_count
 
 
 @query("str_1", "SELECT lower(c_mktsegment) || '_' || CAST(c_nationkey AS VARCHAR) AS tag, count(*) AS n FROM customer GROUP BY 1")
 def str_1(spark, sf):
     tag = F.concat(F.lower("c_mktsegment"), F.lit("_"), F.col("c_nationkey").cast("string"))
-    return T(spark, sf, "customer").groupBy(tag.alias("tag")).agg(N)
+    return T(spark, sf, "customer").groupBy(tag.alias("tag")).agg(row_count())
 
 
 @query("str_2", """
@@ -32,12 +30,12 @@ def str_2(spark, sf):
 
 @query("str_3", "SELECT substr(s_name, 1, 7) AS head, substr(s_name, 10, 4) AS middle, count(*) AS n FROM supplier GROUP BY ALL")
 def str_3(spark, sf):
-    return T(spark, sf, "supplier").groupBy(text.short_stop_id("s_name").alias("head"), F.substring("s_name", 10, 4).alias("middle")).agg(N)
+    return T(spark, sf, "supplier").groupBy(text.short_stop_id("s_name").alias("head"), F.substring("s_name", 10, 4).alias("middle")).agg(row_count())
 
 
 @query("str_4", "SELECT trim(p_name, 'smaldre') AS stripped, count(*) AS n FROM part GROUP BY 1")
 def str_4(spark, sf):
-    return T(spark, sf, "part").groupBy(text.strip_letters("p_name", "smaldre").alias("stripped")).agg(N)
+    return T(spark, sf, "part").groupBy(text.strip_letters("p_name", "smaldre").alias("stripped")).agg(row_count())
 
 
 @query("str_5", r"SELECT c_custkey, regexp_replace(c_name, '\D', '', 'g') AS digits FROM customer")
@@ -59,7 +57,7 @@ def dat_1(spark, sf):
     shown = T(spark, sf, "orders").withColumn("shown", F.date_format("o_orderdate", "dd.MM.yyyy HH:mm"))
     wrong = shown.filter(times.safe_ts("shown", "MM.dd.yyyy HH:mm").isNull())
     return wrong.groupBy("o_orderstatus").agg(
-        N, F.min(times.epoch(times.safe_ts("shown", times.MINUTE_PATTERN))).alias("first_s"),
+        row_count(), F.min(times.epoch(times.safe_ts("shown", times.MINUTE_PATTERN))).alias("first_s"),
         F.max(times.safe_date(F.substring("shown", 1, 10))).cast("string").alias("last_day"),
     )
 
@@ -81,7 +79,7 @@ def dat_2(spark, sf):
 def dat_3(spark, sf):
     d = "o_orderdate"
     return T(spark, sf, "orders").groupBy(F.year(d).alias("year"), F.weekofyear(d).alias("week"), times.iso_year(d).cast("int").alias("iso_year")).agg(
-        N, F.min(F.dayofyear(d)).alias("first_day"), F.max(F.month(d)).alias("month"), F.max(F.day(d)).alias("day"), F.max(times.day_name(d)).alias("day_name")
+        row_count(), F.min(F.dayofyear(d)).alias("first_day"), F.max(F.month(d)).alias("month"), F.max(F.day(d)).alias("day"), F.max(times.day_name(d)).alias("day_name")
     )
 
 
@@ -92,7 +90,7 @@ def dat_3(spark, sf):
 def dat_4(spark, sf):
     fields = times.calendar_features("ts")
     return T(spark, sf, "events").groupBy(fields["day_of_week"].alias("day_of_week"), F.dayofweek("ts").alias("sunday_first"), fields["hour"].alias("hour")).agg(
-        F.max(fields["minute"]).alias("minute"), N
+        F.max(fields["minute"]).alias("minute"), row_count()
     )
 
 
@@ -115,7 +113,7 @@ def dat_5(spark, sf):
 """)
 def dat_6(spark, sf):
     slots = spark.range(1).select(F.explode(times.minute_slots().cast("array<bigint>")).alias("slot"))
-    counts = T(spark, sf, "events").groupBy((F.hour("ts") * 60 + F.minute("ts")).cast("bigint").alias("slot")).agg(N)
+    counts = T(spark, sf, "events").groupBy((F.hour("ts") * 60 + F.minute("ts")).cast("bigint").alias("slot")).agg(row_count())
     return slots.join(counts, "slot", "left").na.fill(0, ["n"])
 
 
@@ -140,7 +138,7 @@ def mth_1(spark, sf):
 def mth_2(spark, sf):
     balance = F.col("c_acctbal")
     return T(spark, sf, "customer").groupBy("c_nationkey").agg(
-        N, F.round(F.sum(delays.clamp_at_zero(balance)), 2).alias("positive"), F.round(F.sum(F.least(balance, F.lit(1.0))), 2).alias("capped"),
+        row_count(), F.round(F.sum(delays.clamp_at_zero(balance)), 2).alias("positive"), F.round(F.sum(F.least(balance, F.lit(1.0))), 2).alias("capped"),
         F.sum(balance.cast("bigint")).alias("whole"),
     )
 
@@ -149,7 +147,7 @@ def mth_2(spark, sf):
     SELECT delay_minutes, round(least(pow(0.99, 10 - delay_minutes), 1), 8) AS chance, count(*) AS n FROM ({LINE_DELAYS_SQL}) GROUP BY 1, 2
 """)
 def mth_3(spark, sf):
-    rows = line_delays(spark, sf).groupBy("delay_minutes").agg(N)
+    rows = line_delays(spark, sf).groupBy("delay_minutes").agg(row_count())
     return rows.withColumn("chance", F.round(delays.fallback_chance(F.col("delay_minutes")), 8))
 
 
@@ -167,19 +165,19 @@ def arr_2(spark, sf):
     docs = T(spark, sf, "documents")
     tags = F.transform(F.split(F.lower("text"), " "), lambda w: F.struct(w.alias("text")))
     tweets = docs.select(F.col("doc_id").cast("string").alias("timestamp_ms"), "lang", F.struct(tags.alias("hashtags")).alias("entities"))
-    return explode_hashtags(tweets).groupBy("lang", "hashtag").agg(N)
+    return explode_hashtags(tweets).groupBy("lang", "hashtag").agg(row_count())
 
 
 @query("jsn_1", "SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY event_type")
 def jsn_1(spark, sf):
     parsed = T(spark, sf, "events").withColumn("p", F.from_json("props", "k INT"))
-    return parsed.groupBy("event_type").agg(N, F.sum("p.k").alias("total"))
+    return parsed.groupBy("event_type").agg(row_count(), F.sum("p.k").alias("total"))
 
 
 @query("udf_1", "SELECT lower(c_mktsegment) AS segment, count(*) AS n FROM customer GROUP BY 1")
 def udf_1(spark, sf):
     lowercase = register_scalar(spark, "lowercase", lambda values: values.str.lower(), "string")
-    return T(spark, sf, "customer").groupBy(lowercase("c_mktsegment").alias("segment")).agg(N)
+    return T(spark, sf, "customer").groupBy(lowercase("c_mktsegment").alias("segment")).agg(row_count())
 
 
 @query("udf_2", """
@@ -187,7 +185,7 @@ def udf_1(spark, sf):
 """)
 def udf_2(spark, sf):
     as_vehicle = F.when(F.col("event_type") == "click", "Zug").when(F.col("event_type") == "view", "BUS").when(F.col("event_type") == "signup", "tram").otherwise("ship")
-    return T(spark, sf, "events").groupBy(delays.transport_code(as_vehicle).alias("code")).agg(N)
+    return T(spark, sf, "events").groupBy(delays.transport_code(as_vehicle).alias("code")).agg(row_count())
 
 
 _BINS = f"SELECT CAST({bin_sql('delay_minutes')} AS INTEGER) AS delay_bin, count(*) AS n FROM ({LINE_DELAYS_SQL}) GROUP BY 1"
@@ -197,12 +195,12 @@ _BINS = f"SELECT CAST({bin_sql('delay_minutes')} AS INTEGER) AS delay_bin, count
 def udf_3(spark, sf):
     edges = np.array(delays.BIN_EDGES, float)
     bin_of = register_scalar(spark, "label_bin", lambda x: x.map(lambda v: int(np.searchsorted(edges, v, side="left"))), "int")
-    return line_delays(spark, sf).groupBy(bin_of("delay_minutes").alias("delay_bin")).agg(N)
+    return line_delays(spark, sf).groupBy(bin_of("delay_minutes").alias("delay_bin")).agg(row_count())
 
 
 @query("bin_1", _BINS)
 def bin_1(spark, sf):
-    return line_delays(spark, sf).groupBy(delays.delay_bin(F.col("delay_minutes")).alias("delay_bin")).agg(N)
+    return line_delays(spark, sf).groupBy(delays.delay_bin(F.col("delay_minutes")).alias("delay_bin")).agg(row_count())
 
 
 @query("udaf_1", """
@@ -222,4 +220,4 @@ def udaf_1(spark, sf):
 
 @query("udtf_1", "SELECT token, count(*) AS n FROM (SELECT unnest(string_split(lower(text), ' ')) AS token FROM documents) GROUP BY token")
 def udtf_1(spark, sf):
-    return words(spark, sf).groupBy("token").agg(N)
+    return words(spark, sf).groupBy("token").agg(row_count())

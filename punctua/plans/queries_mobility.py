@@ -10,9 +10,8 @@ from punctua.plans.derived import (
     LINE_DELAYS_SQL, LINE_EDGES_SQL, LINE_STOP_TIMES_SQL, STOP_EVENTS_SQL, STOPS_SQL, T, bin_sql, distance_sql, line_delays,
     line_edges, line_stop_times, stop_events, stops,
 )
-from punctua.plans.registry import query
+from punctua.plans.registry import query, row_count
 
-N = F.count(F.lit(1)).alias("n")
 
 #: Circle that holds part of the derived stops.
 LAT, LON, KM = 10.0, 20.0, 9000.0
@@ -33,7 +32,7 @@ def mob_1(spark, sf):
     SELECT stop_id, dayname(l_shipdate) AS day_name, count(*) AS n FROM ({STOP_EVENTS_SQL}) JOIN ({NEAR_SQL}) USING (stop_name) WHERE NOT passes_through GROUP BY ALL
 """)
 def mob_2(spark, sf):
-    return mobility.events_near(stop_events(spark, sf), near(spark, sf)).groupBy("stop_id", "day_name").agg(N)
+    return mobility.events_near(stop_events(spark, sf), near(spark, sf)).groupBy("stop_id", "day_name").agg(row_count())
 
 
 def _timetable(spark, sf):
@@ -68,7 +67,7 @@ def _timetable(spark, sf):
 def mob_3(spark, sf):
     table = mobility.graph_table(stops(spark, sf), *_timetable(spark, sf))
     return table.groupBy("vehicle").agg(
-        N, F.min("arrival").alias("first_arrival"), F.max("departure").alias("last_departure"),
+        row_count(), F.min("arrival").alias("first_arrival"), F.max("departure").alias("last_departure"),
         F.count_if("monday").alias("mondays"), F.count_if("friday").alias("fridays"),
     )
 
@@ -77,7 +76,7 @@ def mob_3(spark, sf):
     SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month, count(*) AS n FROM lineitem WHERE year(l_shipdate) IN (1996, 1997) GROUP BY ALL
 """)
 def mob_4(spark, sf):
-    return mobility.delay_training(stop_events(spark, sf), (1996, 1997)).groupBy("year", "month").agg(N)
+    return mobility.delay_training(stop_events(spark, sf), (1996, 1997)).groupBy("year", "month").agg(row_count())
 
 
 @query("mob_5", """
@@ -91,7 +90,7 @@ def mob_5(spark, sf):
 
 @query("mob_6", f"SELECT src_stop_id, dst_stop_id, src_departure, dst_arrival, duration, vehicle, count(*) AS n FROM ({LINE_EDGES_SQL}) GROUP BY ALL")
 def mob_6(spark, sf):
-    return line_edges(spark, sf).groupBy("src_stop_id", "dst_stop_id", "src_departure", "dst_arrival", "duration", "vehicle").agg(N)
+    return line_edges(spark, sf).groupBy("src_stop_id", "dst_stop_id", "src_departure", "dst_arrival", "duration", "vehicle").agg(row_count())
 
 
 #: Longer and faster walks than the planner's, as the derived stops lie apart.
@@ -118,7 +117,7 @@ def mob_7(spark, sf):
 """)
 def mob_8(spark, sf):
     return mobility.expand_walks(walks(spark, sf)).groupBy("src_stop_id", "dst_stop_id").agg(
-        N, F.min("src_departure").alias("first_departure"), F.max("dst_arrival").alias("last_arrival")
+        row_count(), F.min("src_departure").alias("first_departure"), F.max("dst_arrival").alias("last_arrival")
     )
 
 
@@ -129,7 +128,7 @@ def mob_8(spark, sf):
 """)
 def mob_9(spark, sf):
     graph = mobility.build_graph(line_edges(spark, sf), mobility.expand_walks(walks(spark, sf)))
-    return graph.groupBy("vehicle").agg(N, F.sum("duration").alias("total"))
+    return graph.groupBy("vehicle").agg(row_count(), F.sum("duration").alias("total"))
 
 
 ROUNDS, TRANSFER, CONFIDENCE = 3, 1, 0.3
@@ -202,7 +201,7 @@ def mob_10(spark, sf):
 
 @query("mob_11", f"{_LABELS_SQL} SELECT req_id, count(*) AS n, round(min(p), 8) AS worst, round(avg(p), 8) AS mean_p FROM l{ROUNDS} GROUP BY req_id")
 def mob_11(spark, sf):
-    return labels(spark, sf).groupBy("req_id").agg(N, F.round(F.min("p"), 8).alias("worst"), F.round(F.avg("p"), 8).alias("mean_p"))
+    return labels(spark, sf).groupBy("req_id").agg(row_count(), F.round(F.min("p"), 8).alias("worst"), F.round(F.avg("p"), 8).alias("mean_p"))
 
 
 @query("mob_12", f"""{_LABELS_SQL}, ask AS ({_ASK_SQL})

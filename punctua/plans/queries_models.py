@@ -10,11 +10,9 @@ from punctua.operators import clustering, delay_history, delay_model, features,
 from punctua.operators.aggregates import bootstrap_mean_ci
 from punctua.plans.derived import LINE_DELAYS_SQL, STOP_EVENTS_SQL, T, bin_sql, line_delays, stop_events
 from punctua.plans.queries_series import FOLDS_SQL
-from punctua.plans.registry import query
+from punctua.plans.registry import query, row_count
 from punctua.sources.catalog import holdout
 
-N = F.count(F.lit(1)).alias("n")
-
 
 @query("fea_1", "SELECT event_type, round(sum(value), 4) AS first_sum, CAST(sum(user_id) AS DOUBLE) AS second_sum FROM events GROUP BY event_type")
 def fea_1(spark, sf):
@@ -50,7 +48,7 @@ def fea_3(spark, sf):
     FROM events GROUP BY ALL
 """)
 def fea_4(spark, sf):
-    return T(spark, sf, "events").groupBy(*[c.alias(n) for n, c in times.calendar_features("ts").items()]).agg(N)
+    return T(spark, sf, "events").groupBy(*[c.alias(n) for n, c in times.calendar_features("ts").items()]).agg(row_count())
 
 
 @query("fea_5", f"""
@@ -60,7 +58,7 @@ def fea_5(spark, sf):
     events = stop_events(spark, sf)
     due, real = times.safe_ts("sched_arr", times.MINUTE_PATTERN), times.safe_ts("act_arr", times.SECOND_PATTERN)
     late = events.withColumn("late", delays.delay_minutes(due, real))
-    return late.groupBy("vehicle").agg(N, F.count("late").alias("known"), F.round(F.avg("late"), 6).alias("mean_minutes"), F.max("late").alias("worst"))
+    return late.groupBy("vehicle").agg(row_count(), F.count("late").alias("known"), F.round(F.avg("late"), 6).alias("mean_minutes"), F.max("late").alias("worst"))
 
 
 def _vectors(spark, sf):
@@ -74,7 +72,7 @@ _DIMS = [f"d{i}" for i in range(64)]
 @query("clu_1")
 def clu_1(spark, sf):
     found = clustering.kmeans(T(spark, sf, "customer"), ["c_acctbal"], k=4, seed=0, name="balance_cluster")
-    return found.groupBy("balance_cluster").agg(N, F.min("c_acctbal").alias("lowest"), F.max("c_acctbal").alias("highest"))
+    return found.groupBy("balance_cluster").agg(row_count(), F.min("c_acctbal").alias("lowest"), F.max("c_acctbal").alias("highest"))
 
 
 @query("clu_2")
@@ -91,7 +89,7 @@ def clu_3(spark, sf):
 def clu_4(spark, sf):
     counts = trends.daily_counts(T(spark, sf, "events"), "ts", "user_id")
     members, model = clustering.cluster_series(trends.series_matrix(counts, "user_id"), "user_id")
-    return members.groupBy("cluster").agg(N).join(clustering.cluster_sizes(model, members), "cluster")
+    return members.groupBy("cluster").agg(row_count()).join(clustering.cluster_sizes(model, members), "cluster")
 
 
 @query("reg_1", """
@@ -101,7 +99,7 @@ def clu_4(spark, sf):
 """)
 def reg_1(spark, sf):
     rows = regression.reconstruct(T(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity"], "l_shipdate", "1999-01-01")
-    return rows.groupBy("l_quantity").agg(F.round(F.max("reg_l_extendedprice"), 2).alias("reg_l_extendedprice"), N)
+    return rows.groupBy("l_quantity").agg(F.round(F.max("reg_l_extendedprice"), 2).alias("reg_l_extendedprice"), row_count())
 
 
 @query("reg_2", f"""
@@ -131,15 +129,16 @@ _TARGET = "d0"
 
 @query("reg_3")
 def reg_3(spark, sf):
-    rows = _vectors(spark, sf)
-    chosen = set(regression.select_by_coefficient(rows, _TARGET, _DIMS[1:]))
-    return regression.coefficients(rows, _TARGET, _DIMS[1:]).withColumn("kept", F.col("feature").isin(*chosen))
+    fit = regression.fit_linear(_vectors(spark, sf), _TARGET, _DIMS[1:])
+    kept = regression.select_by_coefficient(fit)
+    return regression.coefficients(spark, fit).withColumn("kept", F.col("feature").isin(*kept))
 
 
 @query("reg_4")
 def reg_4(spark, sf):
     rows = _vectors(spark, sf)
-    return regression.coefficients(rows, _TARGET, regression.rfe(rows, _TARGET, _DIMS[1:], 3))
+    chosen = regression.rfe(rows, _TARGET, _DIMS[1:], 3)
+    return regression.coefficients(spark, regression.fit_linear(rows, _TARGET, chosen))
 
 
 @query("reg_5", """
@@ -185,7 +184,7 @@ def cls_2(spark, sf):
     rows = _model_rows(spark, sf)
     model = delay_model.fit_delay_model(rows, max_iter=10)
     p = delay_model.chance_from_bins(F.col("chances"), F.lit(5.0))
-    return delay_model.score(rows, model).groupBy("transport_type").agg(N, F.avg(p).alias("p_within_5"))
+    return delay_model.score(rows, model).groupBy("transport_type").agg(row_count(), F.avg(p).alias("p_within_5"))
 
 
 @query("cls_3")
@@ -205,8 +204,9 @@ def cls_4(spark, sf):
 @query("cls_5", f"""
     WITH b AS (SELECT vehicle, l_linestatus, {bin_sql('delay_minutes')} AS b FROM ({LINE_DELAYS_SQL})),
          t AS (SELECT vehicle, l_linestatus, count(*) AS samples FROM b GROUP BY ALL)
-    SELECT t.vehicle, t.l_linestatus, t.samples, CAST(g.range AS INTEGER) AS delay_bin, round(count(CASE WHEN b.b <= g.range THEN 1 END) / samples, 8) AS p
-    FROM t CROSS JOIN range(0, 15) g JOIN b ON b.vehicle = t.vehicle AND b.l_linestatus = t.l_linestatus GROUP BY ALL
+    SELECT vehicle, l_linestatus, samples, CAST(bin AS INTEGER) AS delay_bin, round(upto::DOUBLE / samples, 8) AS p FROM t JOIN (
+        SELECT vehicle, l_linestatus, g.range AS bin, count(CASE WHEN b.b <= g.range THEN 1 END) AS upto FROM b CROSS JOIN range(0, 15) g GROUP BY ALL)
+    USING (vehicle, l_linestatus)
 """)
 def cls_5(spark, sf):
     cdf = delay_history.delay_cdf(line_delays(spark, sf), ["vehicle", "l_linestatus"])
@@ -224,6 +224,6 @@ def cls_5(spark, sf):
 def cls_5_lookup(spark, sf):
     """Chance of making a connection; one transport type has no history."""
     known = line_delays(spark, sf).filter(F.col("vehicle") != "R")
-    slack = T(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("vehicle"), (F.col("l_quantity") - 10).alias("slack_minutes")).agg(N)
+    slack = T(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("vehicle"), (F.col("l_quantity") - 10).alias("slack_minutes")).agg(row_count())
     found = delay_history.p_on_time(slack, delay_history.delay_cdf(known, ["vehicle"]), ["vehicle"])
     return found.withColumn("p", F.round("p", 8))

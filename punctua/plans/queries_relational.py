@@ -9,9 +9,7 @@ from punctua.functions.times import in_clock_window, safe_cast, safe_ts
 from punctua.operators import joins, relational
 from punctua.operators.mobility import timetable, walking_pairs, with_names
 from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, distance_sql, line_edges, stops
-from punctua.plans.registry import query
-
-N = F.count(F.lit(1)).alias("n")
+from punctua.plans.registry import query, row_count
 
 
 @query("prj_1", "SELECT s_name AS stop_name, s_suppkey AS stop_id, s_acctbal AS balance FROM supplier")
@@ -29,7 +27,7 @@ def prj_2(spark, sf):
 """)
 def prj_3(spark, sf):
     rows = T(spark, sf, "events").withColumns({"hour": F.hour("ts"), "mixed": F.col("value") * 2 + F.col("user_id")})
-    return rows.groupBy("hour").agg(N, F.round(F.sum("mixed"), 4).alias("mixed"))
+    return rows.groupBy("hour").agg(row_count(), F.round(F.sum("mixed"), 4).alias("mixed"))
 
 
 @query("prj_4", "SELECT c_custkey AS src_custkey, c_name AS src_name, c_nationkey AS src_nationkey, c_acctbal AS src_acctbal, c_mktsegment AS src_mktsegment FROM customer")
@@ -39,12 +37,12 @@ def prj_4(spark, sf):
 
 @query("flt_1", "SELECT user_id, count(*) AS n FROM events WHERE event_type = 'click' AND value > 20 GROUP BY user_id")
 def flt_1(spark, sf):
-    return T(spark, sf, "events").filter((F.col("event_type") == "click") & (F.col("value") > 20)).groupBy("user_id").agg(N)
+    return T(spark, sf, "events").filter((F.col("event_type") == "click") & (F.col("value") > 20)).groupBy("user_id").agg(row_count())
 
 
 @query("flt_2", "SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('view', 'signup') GROUP BY event_type")
 def flt_2(spark, sf):
-    return T(spark, sf, "events").filter(F.col("event_type").isin("view", "signup")).groupBy("event_type").agg(N)
+    return T(spark, sf, "events").filter(F.col("event_type").isin("view", "signup")).groupBy("event_type").agg(row_count())
 
 
 _SEMI = """
@@ -56,7 +54,7 @@ _SEMI = """
 def _semi(spark, sf, where):
     keys = T(spark, sf, "customer").filter(where).select(F.col("c_custkey").alias("o_custkey"))
     kept = joins.keep_keys_in(T(spark, sf, "orders"), keys, ["o_custkey"])
-    return kept.groupBy("o_orderstatus").agg(N, F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return kept.groupBy("o_orderstatus").agg(row_count(), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query("flt_3", _SEMI.format(where="c_acctbal < 0"))
@@ -66,13 +64,13 @@ def flt_3(spark, sf):
 
 @query("flt_4", "SELECT p_brand, count(*) AS n FROM part WHERE p_name LIKE 'small%' GROUP BY p_brand")
 def flt_4(spark, sf):
-    return T(spark, sf, "part").filter(starts_with("p_name", "small")).groupBy("p_brand").agg(N)
+    return T(spark, sf, "part").filter(starts_with("p_name", "small")).groupBy("p_brand").agg(row_count())
 
 
 @query("flt_5", "SELECT p_type, count(*) AS n FROM part WHERE lower(p_name) LIKE '%red%' AND NOT p_name LIKE '%ring%' GROUP BY p_type")
 def flt_5(spark, sf):
     part = T(spark, sf, "part")
-    return part.filter(contains_text("p_name", "RED", ignore_case=True) & lacks_text("p_name", "ring")).groupBy("p_type").agg(N)
+    return part.filter(contains_text("p_name", "RED", ignore_case=True) & lacks_text("p_name", "ring")).groupBy("p_type").agg(row_count())
 
 
 @query("flt_6", """
@@ -82,7 +80,7 @@ def flt_5(spark, sf):
 def flt_6(spark, sf):
     clock = F.format_string("%02d:%02d:00", F.col("l_linenumber") * 3 + 2, F.col("l_quantity").cast("int"))
     rows = T(spark, sf, "lineitem").withColumn("arrival_time", clock)
-    return rows.filter(in_clock_window("arrival_time", "05:00:00", "23:00:00")).groupBy("l_linenumber").agg(N)
+    return rows.filter(in_clock_window("arrival_time", "05:00:00", "23:00:00")).groupBy("l_linenumber").agg(row_count())
 
 
 _DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday"]
@@ -109,12 +107,12 @@ def flt_8(spark, sf):
     start = F.date_add(F.lit("1995-01-01").cast("date"), F.col("src_departure"))
     edges = line_edges(spark, sf).withColumn("monday", (F.weekday(start) == 0).cast("int"))
     kept = relational.network_window(edges, "monday", 2000, 300)
-    return kept.groupBy("src_stop_id").agg(N, F.sum("duration").alias("days"))
+    return kept.groupBy("src_stop_id").agg(row_count(), F.sum("duration").alias("days"))
 
 
 @query("flt_9", "SELECT lang, count(*) AS n FROM documents WHERE length(text) > 0 GROUP BY lang")
 def flt_9(spark, sf):
-    return T(spark, sf, "documents").filter(non_empty("text")).groupBy("lang").agg(N)
+    return T(spark, sf, "documents").filter(non_empty("text")).groupBy("lang").agg(row_count())
 
 
 @query("flt_10", """
@@ -124,7 +122,7 @@ def flt_9(spark, sf):
 def flt_10(spark, sf):
     early = relational.before(T(spark, sf, "events"), "ts", "2024-01-15")
     year = relational.in_year(T(spark, sf, "orders"), "o_orderdate", 1997)
-    return early.agg(N).select(F.lit("events").alias("part"), "n").union(year.agg(N).select(F.lit("orders").alias("part"), "n"))
+    return early.agg(row_count()).select(F.lit("events").alias("part"), "n").union(year.agg(row_count()).select(F.lit("orders").alias("part"), "n"))
 
 
 @query("flt_11", """
@@ -141,7 +139,7 @@ def flt_11(spark, sf):
 """)
 def flt_12(spark, sf):
     text = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd.MM.yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return T(spark, sf, "orders").withColumn("day", text).filter(date_shaped("day")).groupBy("o_orderpriority").agg(N)
+    return T(spark, sf, "orders").withColumn("day", text).filter(date_shaped("day")).groupBy("o_orderpriority").agg(row_count())
 
 
 def _holey(spark, sf):
@@ -155,12 +153,12 @@ _HOLEY = "(SELECT event_id, user_id, CASE WHEN value >= 10 THEN value END AS val
 
 @query("nul_1", f"SELECT kind, count(*) AS n FROM {_HOLEY} WHERE value IS NOT NULL AND kind IS NOT NULL GROUP BY kind")
 def nul_1(spark, sf):
-    return relational.drop_nulls(_holey(spark, sf), ["value", "kind"]).groupBy("kind").agg(N)
+    return relational.drop_nulls(_holey(spark, sf), ["value", "kind"]).groupBy("kind").agg(row_count())
 
 
 @query("nul_2", f"SELECT coalesce(kind, '') AS kind, count(*) AS n, round(sum(coalesce(value, 0)), 4) AS total FROM {_HOLEY} GROUP BY 1")
 def nul_2(spark, sf):
-    return _holey(spark, sf).na.fill({"kind": "", "value": 0.0}).groupBy("kind").agg(N, F.round(F.sum("value"), 4).alias("total"))
+    return _holey(spark, sf).na.fill({"kind": "", "value": 0.0}).groupBy("kind").agg(row_count(), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("nul_3", f"""
@@ -182,7 +180,7 @@ def ded_1(spark, sf):
 """)
 def cnd_1(spark, sf):
     band = F.when(F.col("value") < 10, "low").when(F.col("value") < 50, "mid").otherwise("high")
-    return T(spark, sf, "events").groupBy(band.alias("band")).agg(N)
+    return T(spark, sf, "events").groupBy(band.alias("band")).agg(row_count())
 
 
 @query("cst_1", """
@@ -217,7 +215,7 @@ def jon_1(spark, sf):
     nation = T(spark, sf, "nation").join(T(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     lines = nation.select(F.col("n_nationkey").alias("route_id"), "r_name")
     full = timetable(places, stop_times, trips, services, lines)
-    return full.groupBy("r_name", "p_type").agg(N, F.round(F.sum("l_extendedprice"), 2).alias("total"))
+    return full.groupBy("r_name", "p_type").agg(row_count(), F.round(F.sum("l_extendedprice"), 2).alias("total"))
 
 
 _PER_DAY = "SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS {0}s FROM events WHERE event_type = '{0}' GROUP BY ALL"
@@ -263,7 +261,7 @@ def jon_4(spark, sf):
     SELECT o_orderstatus, o_orderpriority, n, total FROM parts JOIN totals USING (o_orderstatus)
 """)
 def jon_5(spark, sf):
-    parts = T(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(N)
+    parts = T(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(row_count())
     totals = parts.groupBy("o_orderstatus").agg(F.sum("n").alias("total"))
     return parts.join(totals, "o_orderstatus")
 
@@ -296,7 +294,7 @@ def jon_7(spark, sf):
 """)
 def jon_8(spark, sf):
     named = with_names(line_edges(spark, sf), stops(spark, sf), ["src_stop_id"])
-    return named.groupBy("vehicle", "src_stop_id_name").agg(N)
+    return named.groupBy("vehicle", "src_stop_id_name").agg(row_count())
 
 
 @query("srt_1", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey")
@@ -306,7 +304,7 @@ def srt_1(spark, sf):
 
 @query("lim_1", "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 5")
 def lim_1(spark, sf):
-    counts = T(spark, sf, "lineitem").groupBy("l_partkey").agg(N)
+    counts = T(spark, sf, "lineitem").groupBy("l_partkey").agg(row_count())
     return relational.top_n(counts, [F.desc("n"), F.asc("l_partkey")], 5)
 
 
@@ -319,7 +317,7 @@ def lim_1(spark, sf):
 """)
 def set_1(spark, sf):
     both = relational.union_edges(line_edges(spark, sf), walking_pairs(stops(spark, sf), 5.0))
-    return both.groupBy(F.coalesce("vehicle", F.lit("foot")).alias("vehicle")).agg(N, F.count("src_departure").alias("timed"))
+    return both.groupBy(F.coalesce("vehicle", F.lit("foot")).alias("vehicle")).agg(row_count(), F.count("src_departure").alias("timed"))
 
 
 @query("set_2", f"SELECT src_stop_id AS stop_id FROM ({LINE_EDGES_SQL}) UNION SELECT dst_stop_id FROM ({LINE_EDGES_SQL})")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,3 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return add
+
+
+def row_count() -> Column:
+    return F.count(F.lit(1)).alias("n")
