@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import add
 
 from pyspark.sql import Column, functions as F
 
@@ -37,9 +39,12 @@ def clamp_at_zero(col: Column) -> Column:
 
 
 def delay_bin(minutes: Column) -> Column:
-    """Number of the right-closed bin: 0 for <= 0, ..., 14 for > 30."""
-    edges = F.array(*[F.lit(float(e)) for e in BIN_EDGES])
-    return F.when(minutes.isNotNull(), F.size(F.filter(edges, lambda e: e < minutes)))
+    """Number of the right-closed bin: 0 for <= 0, ..., 14 for > 30.
+
+    It is the number of edges below the delay, which stays inside generated
+    code, unlike a function over an array of edges.
+    """
+    return reduce(add, [(minutes > F.lit(float(e))).cast("int") for e in BIN_EDGES])
 
 
 def transport_code(vehicle: Column) -> Column:

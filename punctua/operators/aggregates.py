@@ -211,7 +211,8 @@ def poisson_bootstrap_mean_ci(df: DataFrame, value: str, key: str, b: int = 1000
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(key).alias("__key"), F.col(value).cast("double").alias("__x"))
     each = rows.withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-    each = each.withColumn("__w", _poisson_weight(draw_unit(seed, F.col("__r"), F.col("__key"))))
+    each = each.withColumn("__u", draw_unit(seed, F.col("__r"), F.col("__key")))
+    each = each.withColumn("__w", _poisson_weight(F.col("__u")))
     sums = each.groupBy("__r").agg(F.sum(F.col("__w") * F.col("__x")).alias("__s"), F.sum("__w").alias("__c"))
     means = sums.select("__r", F.try_divide("__s", "__c").alias("__m"))
     return _interval(means, rows, level)
@@ -228,8 +229,11 @@ def poisson_steps(places: int = 12) -> list[float]:
 
 
 def _poisson_weight(u: Column) -> Column:
-    steps = F.array(*[F.lit(s) for s in poisson_steps()])
-    return F.aggregate(steps, F.lit(0), lambda n, s: n + F.when(u >= s, 1).otherwise(0))
+    steps = poisson_steps()
+    weight = F.when(u < F.lit(steps[0]), 0)
+    for events, step in enumerate(steps[1:], 1):
+        weight = weight.when(u < F.lit(step), events)
+    return weight.otherwise(len(steps))
 
 
 def _interval(means: DataFrame, rows: DataFrame, level: float) -> DataFrame:

@@ -180,5 +180,5 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: s
         found.append(F.max(F.when(hit, known)))
     share = pos - F.floor(pos)
     result = ranked.groupBy("__key", "__n").agg(found[0].alias("__a"), found[1].alias("__z"))
-    mixed = F.col("__a") + (F.col("__z") - F.col("__a")) * share
+    mixed = F.col("__a") * (1 - share) + F.col("__z") * share
     return result.select("__key.*", mixed.alias(name))

@@ -33,7 +33,7 @@ def stop_events(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_tax") < 0.04, "IC").otherwise("IR").alias("service_type"),
         F.lit("false").alias("additional_trip"),
         F.when(F.col("l_discount") == 0, "true").otherwise("false").alias("passes_through"),
-        F.format_string("Supplier#%09d", "l_suppkey").alias("stop_name"),
+        F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("stop_name"),
         F.date_format("due", MINUTE_PATTERN).alias("sched_arr"),
         F.date_format(F.col("due") + late(1), SECOND_PATTERN).alias("act_arr"),
         _status().alias("arr_status"),
@@ -176,3 +176,9 @@ def words(spark: SparkSession, folder: str) -> DataFrame:
     """Every word of every document with the document's language."""
     docs = T(spark, folder, "documents")
     return docs.select("doc_id", "lang", F.explode(F.split(F.lower("text"), " ")).alias("token"))
+
+
+def clock_text() -> Column:
+    """A time of day per order line, zero-padded text."""
+    two = lambda c: F.lpad(c.cast("int").cast("string"), 2, "0")
+    return F.concat(two(F.col("l_linenumber") * 3 + 2), F.lit(":"), two(F.col("l_quantity")), F.lit(":00"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from punctua.operators import mobility, routing
 from punctua.operators.delay_history import delay_cdf
 from punctua.plans.derived import (
-    LINE_DELAYS_SQL, LINE_EDGES_SQL, LINE_STOP_TIMES_SQL, STOP_EVENTS_SQL, STOPS_SQL, T, bin_sql, distance_sql, line_delays,
+    LINE_DELAYS_SQL, LINE_EDGES_SQL, LINE_STOP_TIMES_SQL, STOP_EVENTS_SQL, STOPS_SQL, T, clock_text, bin_sql, distance_sql, line_delays,
     line_edges, line_stop_times, stop_events, stops,
 )
 from punctua.plans.registry import query, row_count
@@ -39,7 +39,7 @@ def _timetable(spark, sf):
     """Timetable tables in their text form: lines as stop times, orders as
     trips, customers as services, nations as routes."""
     line, order = T(spark, sf, "lineitem"), T(spark, sf, "orders")
-    clock = F.format_string("%02d:%02d:00", F.col("l_linenumber") * 3 + 2, F.col("l_quantity").cast("int"))
+    clock = clock_text()
     stop_times = line.select(
         F.col("l_orderkey").cast("string").alias("trip_id"), clock.alias("arrival_time"), clock.alias("departure_time"),
         F.col("l_suppkey").cast("string").alias("stop_id"), F.col("l_linenumber").cast("string").alias("stop_sequence"),

@@ -8,7 +8,7 @@ from punctua.functions.text import contains_text, date_shaped, lacks_text, non_e
 from punctua.functions.times import in_clock_window, safe_cast, safe_ts
 from punctua.operators import joins, relational
 from punctua.operators.mobility import timetable, walking_pairs, with_names
-from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, distance_sql, line_edges, stops
+from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, clock_text, distance_sql, line_edges, stops
 from punctua.plans.registry import query, row_count
 
 
@@ -78,7 +78,7 @@ def flt_5(spark, sf):
     WHERE printf('%02d:%02d:00', 2 + CAST(l_linenumber AS INTEGER) * 3, CAST(l_quantity AS INTEGER)) BETWEEN '05:00:00' AND '23:00:00' GROUP BY ALL
 """)
 def flt_6(spark, sf):
-    clock = F.format_string("%02d:%02d:00", F.col("l_linenumber") * 3 + 2, F.col("l_quantity").cast("int"))
+    clock = clock_text()
     rows = T(spark, sf, "lineitem").withColumn("arrival_time", clock)
     return rows.filter(in_clock_window("arrival_time", "05:00:00", "23:00:00")).groupBy("l_linenumber").agg(row_count())
 

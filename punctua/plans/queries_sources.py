@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from punctua.operators.aggregates import top_n_with_shares
 from punctua.operators.relational import null_census
 from punctua.operators.trends import daily_counts
-from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, line_edges, stop_events, stops, words
+from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, clock_text, line_edges, stop_events, stops, words
 from punctua.plans.registry import query
 from punctua.session import scratch_path
 from punctua.sources import catalog, readers, schemas, writers
@@ -41,7 +41,7 @@ def src_1(spark, sf):
 """)
 def src_2(spark, sf):
     line = T(spark, sf, "lineitem")
-    clock = F.format_string("%02d:%02d:00", F.col("l_linenumber") * 3 + 2, F.col("l_quantity").cast("int"))
+    clock = clock_text()
     table = line.select(
         F.col("l_orderkey").cast("string").alias("trip_id"), clock.alias("arrival_time"), clock.alias("departure_time"),
         F.col("l_suppkey").cast("string").alias("stop_id"), F.col("l_linenumber").cast("string").alias("stop_sequence"),
