@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 # The default pattern would cut times to milliseconds.
@@ -39,15 +39,14 @@ def write_json(df: DataFrame, path: str, codec: str | None = None) -> str:
     return path
 
 
-def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month"), parts: int = 8) -> str:
+def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month")) -> str:
     """ORC partitioned by ``by``.
 
-    Rows meet their partition before the write, which keeps the number of files
-    near ``parts`` per partition; the extra hash column lets a partition that
-    holds most of the rows be written by several tasks.
+    Rows meet their partition before the write, which avoids one file per task
+    and partition.  The hint leaves the sizes to AQE: a partition with most of
+    the rows is split over several tasks, small ones share a task.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(parts))
-    df.withColumn("__p", spread).repartition(*by, "__p").drop("__p").write.mode("overwrite").partitionBy(*by).orc(path)
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).orc(path)
     return path
 
 
