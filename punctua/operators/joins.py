@@ -44,15 +44,20 @@ def skew_join(
     condition: Column | None = None,
     share: float = 0.01,
     salts: int = 32,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that spreads the hot keys of ``big`` over ``salts`` tasks.
 
-    Only rows of ``other`` under a hot key are repeated.  ``how`` is ``inner``,
-    ``left`` or ``left_semi``; every row of ``big`` meets all partners once.
+    AQE splits skewed joins by itself, but not where an aggregation on the same
+    key follows; this is for those places.  Only rows of ``other`` under a hot
+    key are repeated.  ``how`` is ``inner``, ``left`` or ``left_semi``; every row
+    of ``big`` meets all partners once.  ``hot`` holds the hot keys if they are
+    known already; there must be few of them, as in :func:`hot_keys`.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"no salted form of a {how} join")
-    hot = F.broadcast(hot_keys(big, on, share).select(*on, F.lit(True).alias("__hot")))
+    hot = hot_keys(big, on, share) if hot is None else hot
+    hot = F.broadcast(hot.select(*on, F.lit(True).alias("__hot")))
     spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
     # A NULL key has no partner; its rows are spread as well.
     loose = F.col("__hot")

@@ -200,18 +200,15 @@ def impact(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str], pre:
     cols = [*xs, y]
     between = lambda span: F.col(ts).between(*[F.lit(s).cast("timestamp_ntz") for s in span])
     known = df.filter(between(pre)).na.drop(subset=cols)
-    # Per key: sums of products, as one array; the small solves run in tasks.
-    centre = known.groupBy(*keys).agg(*[F.avg(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    # Per key: sums of products, as one array, formed map-side whatever the
+    # size of a key; the small solves run in tasks.
+    shift = _means(known, cols)
     size = len(cols) + 1
     at = [(i, j) for i in range(size) for j in range(i, size)]
-    shifted = known.join(centre, keys)
-    value = [F.lit(1.0)] + [F.col(c) - F.col(f"__m{i}") for i, c in enumerate(cols)]
-    sums = shifted.groupBy(*keys).agg(
-        F.array(*[F.sum(value[i] * value[j]) for i, j in at]).alias("__s"),
-        F.first(F.array(*[F.col(f"__m{i}") for i in range(len(cols))])).alias("__m"),
-    )
+    value = [F.lit(1.0)] + [F.col(c) - F.lit(shift[c]) for c in cols]
+    sums = known.groupBy(*keys).agg(F.array(*[F.sum(value[i] * value[j]) for i, j in at]).alias("__s"))
     fitted = sums.mapInPandas(
-        _solve_each(keys, len(xs), at),
+        _solve_each(keys, len(xs), at, [shift[c] for c in cols]),
         ", ".join([*[f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys], "__w ARRAY<DOUBLE>", "__c DOUBLE", "__sigma DOUBLE"]),
     )
     rows = df.filter(between(post)).join(fitted, keys)
@@ -234,19 +231,19 @@ def impact(df: DataFrame, keys: list[str], ts: str, y: str, xs: list[str], pre:
     ).drop("__w", "__c", "__sigma", "__k")
 
 
-def _solve_each(keys: list[str], features: int, at: list[tuple[int, int]]):
+def _solve_each(keys: list[str], features: int, at: list[tuple[int, int]], shift: list[float]):
     use = list(range(1, features + 1))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             weights, intercepts, sigmas = [], [], []
-            for flat, mean in zip(pdf["__s"], pdf["__m"]):
+            for flat in pdf["__s"]:
                 m = np.zeros((features + 2, features + 2))
                 for (i, j), x in zip(at, flat):
                     m[i, j] = m[j, i] = x
                 w, c = _solve(m, use)
                 weights.append(w)
-                intercepts.append(c + mean[-1] - float(w @ np.asarray(mean[:-1], float)))
+                intercepts.append(c + shift[-1] - float(w @ np.asarray(shift[:-1])))
                 sigmas.append(float(np.sqrt(_sse(m, use, w, c) / max(m[0, 0] - features - 1, 1))))
             yield pdf[keys].assign(__w=weights, __c=intercepts, __sigma=sigmas)
 
