@@ -43,8 +43,10 @@ def agg_4(spark, sf):
     )
 
 
+# Rounded as a decimal: binary rounding turns 54727.649999999994 into 54727.7.
 @query("agg_5", """
-    SELECT l_returnflag, CAST(last_day(l_shipdate) AS VARCHAR) AS month_end, round(median(l_extendedprice), 1) AS l_extendedprice
+    SELECT l_returnflag, CAST(last_day(l_shipdate) AS VARCHAR) AS month_end,
+           CAST(round(CAST(CAST(median(l_extendedprice) AS VARCHAR) AS DECIMAL(24, 12)), 1) AS DOUBLE) AS l_extendedprice
     FROM lineitem GROUP BY ALL
 """)
 def agg_5(spark, sf):

@@ -151,11 +151,18 @@ def mth_3(spark, sf):
     return rows.withColumn("chance", F.round(delays.fallback_chance(F.col("delay_minutes")), 8))
 
 
-@query("arr_1", "SELECT user_id, string_agg(event_type, ',' ORDER BY ts, event_id) AS texts FROM events GROUP BY user_id")
+@query("arr_1", """
+    SELECT doc_id, CAST(len(w) AS INTEGER) AS words, w[1] AS first_word, w[-1] AS last_word, CAST(len(list_distinct(w)) AS INTEGER) AS different
+    FROM (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents)
+""")
 def arr_1(spark, sf):
     """A field of the structs in an array, taken as an array."""
-    tags = T(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", F.col("event_type").alias("text")))).alias("tags"))
-    return tags.select("user_id", F.concat_ws(",", F.col("tags.text")).alias("texts"))
+    tags = F.transform(F.split(F.lower("text"), " "), lambda w: F.struct(w.alias("text"), F.length(w).alias("size")))
+    texts = T(spark, sf, "documents").select("doc_id", tags.alias("tags")).select("doc_id", F.col("tags.text").alias("w"))
+    return texts.select(
+        "doc_id", F.size("w").alias("words"), F.element_at("w", 1).alias("first_word"), F.element_at("w", -1).alias("last_word"),
+        F.size(F.array_distinct("w")).alias("different"),
+    )
 
 
 @query("arr_2", """
