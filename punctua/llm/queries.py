@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import simhash_dedup
+from punctua.llm import packing, simhash_dedup
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The byte-level vocabulary: BPE file and rank file.
+BYTE_BPE = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -30,3 +34,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @query("op9_simhash_near_dedup")
 def op9(spark, sf):
     return simhash_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op3_best_fit_packing")
+def op3(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), *BYTE_BPE)
