@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import packing, simhash_dedup
+from punctua.llm import entropy_mix, packing, simhash_dedup
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,8 @@ def op9(spark, sf):
 @query("op3_best_fit_packing")
 def op3(spark, sf):
     return packing.pack(table(spark, sf, "documents"), *BYTE_BPE)
+
+
+@query("op7_entropy_balanced_mix")
+def op7(spark, sf):
+    return entropy_mix.mix(table(spark, sf, "documents"))
