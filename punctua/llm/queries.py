@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, packing, simhash_dedup
+from punctua.llm import entropy_mix, packing, pii, quality_rules, simhash_dedup
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: The byte-level vocabulary: BPE file and rank file.
 BYTE_BPE = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
+#: Key of the surrogates; a real run passes a secret one.
+PII_KEY = "surrogates-1"
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -44,3 +47,15 @@ def op3(spark, sf):
 @query("op7_entropy_balanced_mix")
 def op7(spark, sf):
     return entropy_mix.mix(table(spark, sf, "documents"))
+
+
+@query("op1_quality_rules")
+def op1(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf, "labels")))
+
+
+@query("op2_pii_surrogates")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pii.replace(docs, PII_KEY)
