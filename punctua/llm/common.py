@@ -47,25 +47,28 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str, per_key: str | None = None) -> DataFrame:
-    """0-based rank within ``keys`` along a keyed order, no key in one task.
+def place(order: list[Column], many: Column) -> Column:
+    """A row's place in the keyed order of its key: (chunk, hash).
+
+    ``many`` is the row count of the key; it sets the number of chunks.
+    """
+    chunks = F.floor(many / F.lit(RANK_CHUNK)) + 1
+    return F.struct(F.pmod(F.xxhash64(*order, F.lit(7)), chunks).alias("chunk"), F.xxhash64(*order).alias("at"))
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str, per_key: str) -> DataFrame:
+    """0-based rank within ``keys`` along :func:`place`, no key in one task.
 
     A key's rows are dealt to chunks by a hash of their order values; only
     chunks are sorted, and the counts of the chunks before one give its offset.
-    ``per_key`` names a column with the key's row count; without it the rows are
-    counted first.  Keys compare null-safe.  Rows equal in all of ``order`` are
-    interchangeable.
+    ``per_key`` names a column with the key's row count.  Keys compare
+    null-safe.  Rows equal in all of ``order`` are interchangeable.
     """
     key = F.struct(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"s{i}") for i, k in enumerate(keys)], *[F.col(k).isNull().alias(f"n{i}") for i, k in enumerate(keys)])
-    rows = df.withColumn("__key", key)
-    if per_key is None:
-        rows = rows.join(rows.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")), "__key")
-        per_key = "__n"
-    chunks = F.floor(F.col(per_key) / F.lit(RANK_CHUNK)) + 1
-    rows = rows.withColumn("__chunk", F.pmod(F.xxhash64(*order, F.lit(7)), chunks))
+    rows = df.withColumns({"__key": key, "__place": place(order, F.col(per_key))}).withColumn("__chunk", F.col("__place.chunk"))
     counts = rows.groupBy("__key", "__chunk").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy("__key").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__key", "__chunk", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__key", "__chunk").orderBy(F.xxhash64(*order), *order))
+    inside = F.row_number().over(Window.partitionBy("__key", "__chunk").orderBy("__place", *order))
     rows = rows.withColumn("__inside", inside).join(offsets, ["__key", "__chunk"])
-    return rows.withColumn(name, F.col("__before") + F.col("__inside") - 1).drop("__key", "__chunk", "__inside", "__before", "__n")
+    return rows.withColumn(name, F.col("__before") + F.col("__inside") - 1).drop("__key", "__chunk", "__inside", "__before", "__place")

@@ -13,14 +13,15 @@ of (source, size); they sum inside the tasks and the tilts stay a table.
 Rates become whole copies: along the sizes of a source the running sum of
 copies is rounded, which leaves less than the largest document of words over or
 missing; then single copies of fitting size are given or taken.  Within a size
-the copies go to documents in a keyed order, found by rank.
+the copies go to documents in a keyed order, up to the place of the last one,
+which is found by rank.  A row then tells its copies from its own values.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from punctua.llm.common import ranked, stored, words
+from punctua.llm.common import place, ranked, stored, words
 
 #: Fixed values of the contract.
 WEIGHTS = (5, 2, 1)
@@ -139,36 +140,63 @@ def _one_more(rows: DataFrame) -> DataFrame:
     return out.withColumn("total", F.col("total") + F.when(hit, F.col("best.add")).otherwise(F.lit(0))).drop("best")
 
 
-def word_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, words, skey) per row: one pass over the texts, stored."""
-    source = F.col(source_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), source.alias("source"), F.size(words(F.col(text_col).cast("string"))).cast("bigint").alias("words"))
-    rows = rows.withColumn("skey", F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")))
-    return stored(rows, "sizes")
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """Columns words, skey (a source, NULL apart) and draw (a hash of the row) added."""
+    text, source = F.col(text_col).cast("string"), F.col(source_col).cast("string")
+    return docs.withColumns({
+        "words": F.size(words(text)).cast("bigint"),
+        "skey": F.struct(source.isNull().alias("none"), F.coalesce(source, F.lit("")).alias("name")),
+        "draw": F.xxhash64(F.col(id_col).cast("bigint"), text),
+    })
+
+
+def plan(base: DataFrame) -> DataFrame:
+    """Per (source, size) of ``base`` (skey, words, draw): how many rows, the
+    rate, the copies of each row (``every``) and the place up to which rows get
+    one more (``last``, NULL if none does)."""
+    counts = base.groupBy("skey", "words").agg(F.count(F.lit(1)).alias("n"))
+    per_class = stored(counts, "classes")
+    totals = stored(source_targets(per_class.select("skey", (F.col("words") * F.col("n")).alias("words"))), "targets")
+    classes = stored(per_class.join(totals, "skey"), "classes")
+    given = copies_per_class(classes, tilts(classes)).select("skey", "words", "n", "rate", "total")
+    every = F.when(F.col("words") == 0, 0).otherwise(F.floor(F.col("total") / F.col("n"))).cast("bigint")
+    more = F.when(F.col("words") == 0, 0).otherwise(F.col("total") - F.floor(F.col("total") / F.col("n")) * F.col("n"))
+    given = stored(given.join(totals, "skey").withColumns({"every": every, "more": more}), "plan")
+    some = base.select("skey", "words", "draw").join(given.filter("more > 0").select("skey", "words", "n", "more"), ["skey", "words"])
+    some = some.select("*", F.col("skey.none").alias("none"), F.col("skey.name").alias("name"))
+    last = ranked(some, ["none", "name", "words"], [F.col("draw")], "rank", per_key="n").filter("rank = more - 1")
+    last = last.select("skey", "words", place([F.col("draw")], F.col("n")).alias("last"))
+    return stored(given.join(last, ["skey", "words"], "left").drop("more", "total"), "plan")
+
+
+def _copies() -> Column:
+    more = F.col("last").isNotNull() & (place([F.col("draw")], F.col("n")) <= F.col("last"))
+    return (F.col("every") + F.when(more, 1).otherwise(0)).cast("bigint")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, rate, copies and taken (copies times size).
 
     A NULL text has size 0 and gets no copy; a NULL source is a source of its
-    own.  Rows that repeat a doc_id are separate rows.  Reruns agree: rows equal
-    in id and size may swap their copies, which leaves the same result.  A
+    own.  Rows that repeat id and text get the same copies.  Reruns agree.  A
     source without words has target 0.  Other columns are ignored; an empty
     table gives an empty result.
     """
-    base = word_sizes(docs, id_col, text_col, source_col)
-    counts = base.groupBy("skey", "words").agg(F.count(F.lit(1)).alias("n"))
-    per_class = stored(counts, "classes")
-    totals = stored(source_targets(per_class.select("skey", (F.col("words") * F.col("n")).alias("words"))), "targets")
-    classes = stored(per_class.join(totals, "skey"), "classes")
-    given = copies_per_class(classes, tilts(classes))
-    named = given.select("skey", "words", "n", "rate", "total").join(totals, "skey")
-    rows = base.join(named, ["skey", "words"])
-    every = F.floor(F.col("total") / F.col("n"))
-    placed = ranked(rows, ["source", "words"], [F.col("doc_id")], "rank", per_key="n")
-    copies = every + F.when(F.col("rank") < F.col("total") - every * F.col("n"), 1).otherwise(0)
-    copies = F.when(F.col("words") == 0, 0).otherwise(copies).cast("bigint")
-    return placed.select(
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
+    base = stored(_sized(rows, "doc_id", "text", "source").drop("text"), "sizes")
+    out = base.join(plan(base), ["skey", "words"])
+    return out.select(
         "doc_id", "source", F.col("words").alias("size"), "source_size", "target", "rate",
-        copies.alias("copies"), (copies * F.col("words")).alias("taken"),
+        _copies().alias("copies"), (_copies() * F.col("words")).alias("taken"),
     )
+
+
+def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with every row as often as :func:`mix` takes it, columns unchanged."""
+    named = {c: f"__in_{k}" for k, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(alias) for c, alias in named.items()])
+    sized = _sized(inner, named[id_col], named[text_col], named[source_col])
+    base = stored(sized.select("skey", "words", "draw"), "sizes")
+    rows = sized.join(plan(base), ["skey", "words"])
+    again = F.explode(F.array_repeat(F.lit(1), _copies().cast("int"))).alias("__copy")
+    return rows.select(*named.values(), again).select(*[F.col(alias).alias(c) for c, alias in named.items()])

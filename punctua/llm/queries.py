@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, packing, pii, quality_rules, simhash_dedup
+from punctua.llm import entropy_mix, packing, pii, quality_rules, simhash_dedup, site_quality
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,9 @@ def op1(spark, sf):
 def op2(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return pii.replace(docs, PII_KEY)
+
+
+@query("op6_site_quality")
+def op6(spark, sf):
+    docs = table(spark, sf, "documents")
+    return site_quality.classify(docs, site_quality.fit(docs, table(spark, sf, "labels")))
