@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, packing, pii, quality_rules, simhash_dedup, site_quality
+from punctua.llm import entropy_mix, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op2(spark, sf):
 def op6(spark, sf):
     docs = table(spark, sf, "documents")
     return site_quality.classify(docs, site_quality.fit(docs, table(spark, sf, "labels")))
+
+
+@query("op8_lattice_near_dedup")
+def op8(spark, sf):
+    return lattice_dedup.near_duplicates(table(spark, sf, "embeddings"))
