@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality
+from punctua.llm import entropy_mix, hmm_lm, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,8 @@ def op6(spark, sf):
 @query("op8_lattice_near_dedup")
 def op8(spark, sf):
     return lattice_dedup.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query("op5_hmm_scoring")
+def op5(spark, sf):
+    return hmm_lm.score(table(spark, sf, "documents"))
