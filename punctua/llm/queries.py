@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, hmm_lm, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality
+from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,9 @@ def op8(spark, sf):
 @query("op5_hmm_scoring")
 def op5(spark, sf):
     return hmm_lm.score(table(spark, sf, "documents"))
+
+
+@query("op4_html_main_text")
+def op4(spark, sf):
+    pages = table(spark, sf, "pages")
+    return html_tree.main_texts(pages, html_tree.fit(pages))
