@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality
+from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality, warc
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,9 @@ def op5(spark, sf):
 def op4(spark, sf):
     pages = table(spark, sf, "pages")
     return html_tree.main_texts(pages, html_tree.fit(pages))
+
+
+@query("op10_warc_index")
+def op10(spark, sf):
+    rows = warc.archive(table(spark, sf, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "position")
