@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -47,7 +47,13 @@ def delay_training(events: DataFrame, years: tuple[int, ...] = (2021, 2022, 2023
 
 
 def od_schedule(events: DataFrame, day: str, origin: str, destination: str, service: str = "IC", max_s: int = SAME_JOURNEY_SECONDS) -> DataFrame:
-    """Direct trains from one station to another on one day."""
+    """Direct trains from one station to another on one day.
+
+    Where the table is partitioned by year and month, only that month is read.
+    """
+    if {"year", "month"} <= set(events.columns):
+        date = datetime.strptime(day, "%d.%m.%Y")
+        events = events.filter((F.col("year") == date.year) & (F.col("month") == date.month))
     real = events.filter(
         (F.col("trip_day") == day)
         & (F.col("service_type") == service)
@@ -114,15 +120,9 @@ def trip_edges(
     ``table`` has trip_id, stop_id, arrival, departure and further columns of
     the trip, which the edge keeps.  ``order`` must be a total order within the
     trip; an overlong trip is processed in chunks of its first order column.
-    Edges that run back in time are dropped.
+    Edges that run back in time are not among them, see :func:`backward_edges`.
     """
-    order = order or ["stop_sequence", "departure", "arrival", "stop_id"]
-    chunk = F.floor(F.col(order[0]) / F.lit(512)) if chunk is None else chunk
-    chunk = chunk_if_long(table, ["trip_id"], chunk)
-    here = F.struct("stop_id", "arrival")
-    rows = running(table, ["trip_id"], order, {"__next": ("last", here)}, chunk, descending=True)
-    edges = rows.filter(F.col("__next").isNotNull())
-    gap = F.col("__next.arrival") - F.col("departure")
+    edges, gap = _consecutive(table, order, chunk)
     extra = [c for c in table.columns if c not in {"trip_id", "stop_id", "arrival", "departure"}]
     return edges.filter(gap >= 0).select(
         F.col("stop_id").alias("src_stop_id"),
@@ -135,21 +135,44 @@ def trip_edges(
     )
 
 
+def backward_edges(table: DataFrame, order: list[str] | None = None, chunk: Column | None = None) -> DataFrame:
+    """(trip_id, n): how many edges of a trip run back in time and are left out."""
+    edges, gap = _consecutive(table, order, chunk)
+    return edges.filter(gap < 0).groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _consecutive(table: DataFrame, order: list[str] | None, chunk: Column | None) -> tuple[DataFrame, Column]:
+    """Stops with the next one of their trip, and the time between in seconds."""
+    order = order or ["stop_sequence", "departure", "arrival", "stop_id"]
+    chunk = F.floor(F.col(order[0]) / F.lit(512)) if chunk is None else chunk
+    chunk = chunk_if_long(table, ["trip_id"], chunk)
+    here = F.struct("stop_id", "arrival")
+    rows = running(table, ["trip_id"], order, {"__next": ("last", here)}, chunk, descending=True)
+    return rows.filter(F.col("__next").isNotNull()), F.col("__next.arrival") - F.col("departure")
+
+
 def walking_pairs(stops: DataFrame, max_km: float = WALK_KM, hot_cell: int = 2000) -> DataFrame:
     """Ordered pairs of different stops closer than ``max_km``.
 
-    The Earth is cut into cells not smaller than ``max_km``, so partners lie in
-    the same or a touching cell and the join is by cell.  A cell with more than
-    ``hot_cell`` stops is split: one side by a hash, the other repeated.
+    The Earth is cut into bands of ``max_km``, and each band into cells that are
+    not narrower even at the far edge of the next band.  Partners then lie in
+    the same or a touching cell of their band and the join is by cell.  Every
+    band has its own number of cells, so no stop widens the cells of others.  A
+    cell with more than ``hot_cell`` stops is split: one side by a hash, the
+    other repeated.
     """
-    reach = stops.agg(F.max(F.abs("stop_lat"))).first()[0] or 0.0
     height = max_km / KM_PER_DEGREE * 1.000001
-    narrow = math.cos(math.radians(min(90.0, float(reach) + height)))
-    columns = max(1, math.floor(360.0 * narrow / height)) if narrow > 1e-9 else 1
-    width = 360.0 / columns
+
+    def cells_in(band: Column) -> Column:
+        edge = F.greatest(F.abs(band * height - 90.0), F.abs((band + 1) * height - 90.0)) + height
+        around = F.floor(360.0 * F.cos(F.radians(F.least(F.lit(90.0), edge))) / height)
+        return F.greatest(F.lit(1), around).cast("bigint")
+
+    def cell_of(band: Column, lon: Column) -> Column:
+        return F.pmod(F.floor((lon + 180.0) / (F.lit(360.0) / cells_in(band))), cells_in(band))
 
     row = F.floor((F.col("stop_lat") + 90.0) / F.lit(height))
-    column = F.pmod(F.floor((F.col("stop_lon") + 180.0) / F.lit(width)), F.lit(columns))
+    column = cell_of(row, F.col("stop_lon"))
     placed = stops.select(
         "stop_id", F.col("stop_lat").cast("double").alias("lat"), F.col("stop_lon").cast("double").alias("lon"),
         row.cast("bigint").alias("cy"), column.cast("bigint").alias("cx"),
@@ -163,8 +186,9 @@ def walking_pairs(stops: DataFrame, max_km: float = WALK_KM, hot_cell: int = 200
         F.pmod(F.xxhash64("stop_id"), parts).cast("int").alias("__salt"),
     )
     near_rows = F.array(*[F.col("cy") + d for d in (-1, 0, 1)])
-    near_columns = F.array_distinct(F.array(*[F.pmod(F.col("cx") + d, F.lit(columns)) for d in (-1, 0, 1)]))
-    right = placed.withColumn("cy", F.explode(near_rows)).withColumn("cx", F.explode(near_columns))
+    near_columns = F.array_distinct(F.array(*[F.pmod(F.col("cx") + d, cells_in(F.col("cy"))) for d in (-1, 0, 1)]))
+    right = placed.withColumn("cy", F.explode(near_rows)).withColumn("cx", cell_of(F.col("cy"), F.col("lon")))
+    right = right.withColumn("cx", F.explode(near_columns))
     right = right.join(splits, ["cy", "cx"], "left")
     right = right.select(
         *[F.col(c).alias(f"dst_{c}") for c in ("stop_id", "lat", "lon")], "cy", "cx",

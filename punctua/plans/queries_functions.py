@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from punctua.functions import delays, geo, text, times
@@ -201,7 +202,7 @@ _BINS = f"SELECT CAST({bin_sql('delay_minutes')} AS INTEGER) AS delay_bin, count
 @query("udf_3", _BINS)
 def udf_3(spark, sf):
     edges = np.array(delays.BIN_EDGES, float)
-    bin_of = register_scalar(spark, "label_bin", lambda x: x.map(lambda v: int(np.searchsorted(edges, v, side="left"))), "int")
+    bin_of = register_scalar(spark, "label_bin", lambda x: pd.Series(np.searchsorted(edges, x.to_numpy(float), side="left")), "int")
     return line_delays(spark, sf).groupBy(bin_of("delay_minutes").alias("delay_bin")).agg(row_count())
 
 

@@ -131,7 +131,8 @@ def mob_9(spark, sf):
     return graph.groupBy("vehicle").agg(row_count(), F.sum("duration").alias("total"))
 
 
-ROUNDS, TRANSFER, CONFIDENCE = 3, 1, 0.3
+#: The SQL writes this many rounds out; the search itself goes on until nothing improves.
+ROUNDS, TRANSFER, CONFIDENCE = 8, 1, 0.3
 
 
 def requests(spark, sf):
@@ -144,16 +145,25 @@ def requests(spark, sf):
     )
 
 
-def labels(spark, sf):
+def labels(spark, sf, pareto=False):
     return routing.route(
         requests(spark, sf), line_stop_times(spark, sf), walks(spark, sf), delay_cdf(line_delays(spark, sf), ["vehicle"]),
-        cdf_keys=("vehicle",), max_rides=ROUNDS, transfer=TRANSFER, per_minute=1, slice_width=50,
+        cdf_keys=("vehicle",), transfer=TRANSFER, per_minute=1, slice_width=50, pareto=pareto,
     )
 
 
-def _route_sql() -> str:
+def _route_sql(pareto: bool = False) -> str:
     """The rounds written out one by one; a ride here is any pair of stops of a trip."""
-    best = "ORDER BY dep DESC, p DESC, walk, rides, rnd, path DESC"
+
+    def best(rows: str, columns: str = "*") -> str:
+        """The labels worth keeping per request and stop."""
+        order = "p DESC, walk, rides, rnd, path DESC"
+        if not pareto:
+            return f"SELECT {columns} FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY req_id, stop_id ORDER BY dep DESC, {order}) = 1"
+        one = f"SELECT {columns} FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY req_id, stop_id, dep ORDER BY {order}) = 1"
+        later = "max(p) OVER (PARTITION BY req_id, stop_id ORDER BY dep DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        return f"SELECT * FROM ({one}) QUALIFY p > coalesce({later}, -1)"
+
     walk = """
         SELECT l.req_id, w.src_stop_id AS stop_id, l.dep - w.minutes AS dep, l.p, l.walk + w.minutes AS walk, l.rides, l.rnd, l.q, l.earliest, l.dest_id,
                list_prepend({'t': 'foot', 'v': 'foot', 's': w.src_stop_id, 'd': w.dst_stop_id, 'a': l.dep - w.minutes, 'b': CAST(l.dep AS BIGINT), 'p': l.p}, l.path) AS path
@@ -167,7 +177,7 @@ def _route_sql() -> str:
                          0 AS walk, 0 AS rides, 0 AS rnd, {CONFIDENCE}::DOUBLE AS q, CAST(1300 + s_nationkey * 20 AS BIGINT) AS earliest, CAST(min(s_suppkey) AS VARCHAR) AS dest_id,
                          CAST([] AS STRUCT(t VARCHAR, v VARCHAR, s VARCHAR, d VARCHAR, a BIGINT, b BIGINT, p DOUBLE)[]) AS path
                   FROM supplier GROUP BY s_nationkey),
-        l0 AS MATERIALIZED (SELECT * FROM (SELECT * FROM start UNION ALL BY NAME {walk % 'start'}) QUALIFY row_number() OVER (PARTITION BY req_id, stop_id {best}) = 1)"""]
+        l0 AS MATERIALIZED ({best("SELECT * FROM start UNION ALL BY NAME " + walk % 'start')})"""]
     for k in range(1, ROUNDS + 1):
         before = f"l{k - 1}"
         parts.append(f"""
@@ -182,9 +192,8 @@ def _route_sql() -> str:
                    list_prepend({{'t': s.trip_id, 'v': s.vehicle, 's': s.stop_id, 'd': o."to", 'a': s.departure, 'b': o.arrival, 'p': o.p}}, o.path) AS path, o.stop_sequence AS osq
             FROM off{k} o JOIN st s ON s.trip_id = o.trip_id AND s.stop_sequence < o.stop_sequence AND s.departure >= o.earliest AND s.stop_id <> o.dest_id
             QUALIFY row_number() OVER (PARTITION BY o.req_id, s.trip_id, s.stop_sequence ORDER BY o.p DESC, o.walk, o.rides, o.stop_sequence) = 1),
-        r{k} AS MATERIALIZED (SELECT * EXCLUDE (osq) FROM on{k} QUALIFY row_number() OVER (PARTITION BY req_id, stop_id {best}) = 1),
-        l{k} AS MATERIALIZED (SELECT * FROM (SELECT * FROM {before} UNION ALL BY NAME SELECT * FROM r{k} UNION ALL BY NAME {walk % f'r{k}'})
-                QUALIFY row_number() OVER (PARTITION BY req_id, stop_id {best}) = 1)""")
+        r{k} AS MATERIALIZED ({best(f"SELECT * FROM on{k}", "* EXCLUDE (osq)")}),
+        l{k} AS MATERIALIZED ({best(f"SELECT * FROM {before} UNION ALL BY NAME SELECT * FROM r{k} UNION ALL BY NAME {walk % f'r{k}'}")})""")
     return "WITH " + ",".join(parts)
 
 
@@ -214,6 +223,16 @@ def mob_12(spark, sf):
     return found.select("req_id", "stop_id", "dep", F.round("p", 8).alias("p"), F.size("path").alias("legs"), F.array_join(way, " ").alias("way"))
 
 
+@query("mob_10_list", f"""{_route_sql(pareto=True)}, ask AS ({_ASK_SQL})
+    SELECT req_id, CAST(row_number() OVER (PARTITION BY req_id ORDER BY dep DESC) AS INTEGER) AS route_no, dep, round(p, 8) AS p, CAST(walk AS INTEGER) AS walk, CAST(rides AS INTEGER) AS rides
+    FROM l{ROUNDS} l JOIN ask USING (req_id, stop_id)
+""")
+def mob_10_list(spark, sf):
+    """All routes worth offering per request, from the latest on."""
+    found = routing.recover(labels(spark, sf, pareto=True), requests(spark, sf))
+    return found.select("req_id", "route_no", "dep", F.round("p", 8).alias("p"), "walk", "rides")
+
+
 @query("mob_13", f"""{_LABELS_SQL}, ask AS ({_ASK_SQL}),
     legs AS (SELECT req_id, round(l.p * 100, 2) AS confidence, unnest(l.path) AS x, generate_subscripts(l.path, 1) - 1 AS leg_no FROM l{ROUNDS} l JOIN ask USING (req_id, stop_id))
     SELECT req_id, CAST(leg_no AS INTEGER) AS leg_no, x.t AS trip_id, x.v AS vehicle, x.a AS departure, x.b AS arrival, f.s_name AS "from", g.s_name AS "to", confidence

@@ -163,14 +163,14 @@ def reg_5(spark, sf):
 
 def _model_rows(spark, sf):
     events = stop_events(spark, sf).withColumnRenamed("stop_name", "stop_id").filter(F.col("arr_status") != "PROGNOSE")
-    return delay_model.model_rows(events.withColumn("stop_id", F.substring("stop_id", 16, 3)))
+    return delay_model.model_rows(events.withColumn("stop_id", F.substring("stop_id", 10, 9)))
 
 
 @query("cls_1")
 def cls_1(spark, sf):
     """Mean predicted chance of each bin beside its frequency in the data."""
     rows = _model_rows(spark, sf)
-    model = delay_model.fit_delay_model(rows, max_iter=20)
+    model = delay_model.fit_delay_model(rows, max_iter=100)
     scored = delay_model.score(rows, model)
     chances = scored.select(F.posexplode("chances").alias("delay_bin", "p")).groupBy("delay_bin").agg(F.avg("p").alias("mean_chance"))
     total = rows.agg(F.count(F.lit(1)))
@@ -182,7 +182,7 @@ def cls_1(spark, sf):
 def cls_2(spark, sf):
     """Chance of staying within five minutes, per transport type."""
     rows = _model_rows(spark, sf)
-    model = delay_model.fit_delay_model(rows, max_iter=10)
+    model = delay_model.fit_delay_model(rows, max_iter=100)
     p = delay_model.chance_from_bins(F.col("chances"), F.lit(5.0))
     return delay_model.score(rows, model).groupBy("transport_type").agg(row_count(), F.avg(p).alias("p_within_5"))
 

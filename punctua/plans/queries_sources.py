@@ -7,12 +7,13 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from punctua.functions.draws import MODULUS, draw_sql
 from punctua.operators.aggregates import top_n_with_shares
 from punctua.operators.relational import null_census
 from punctua.operators.trends import daily_counts
 from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, clock_text, line_edges, stop_events, stops, words
 from punctua.plans.registry import query
-from punctua.session import scratch_path
+from punctua.session import cut_lineage, scratch_path
 from punctua.sources import catalog, readers, schemas, writers
 
 _EVENT_TOTALS = """
@@ -152,9 +153,12 @@ def src_8(spark, sf):
     return counts.join(names, "event_type").join(days, "day").select("label", "day", "n")
 
 
-@query("src_9")
+_DRAWN = f"({draw_sql(7, 'event_id')})::DOUBLE / {MODULUS}.0::DOUBLE"
+
+
+@query("src_9", f"SELECT * FROM events WHERE {_DRAWN} < 0.01")
 def src_9(spark, sf):
-    return catalog.sample_fraction(T(spark, sf, "events"), 0.01, seed=7)
+    return catalog.sample_fraction(T(spark, sf, "events"), 0.01, seed=7, key=["event_id"])
 
 
 @query("src_10")
@@ -174,11 +178,11 @@ def snk_1(spark, sf):
     return writers.materialise(top_n_with_shares(words(spark, sf), "token", "lang", 20), name, path=path)
 
 
-@query("snk_2", _EVENT_TOTALS)
+@query("snk_2", _EVENT_TOTALS.replace("FROM events", f"FROM events WHERE {_DRAWN} < 0.3"))
 def snk_2(spark, sf):
     path = scratch_path(spark, "orc")
     for _ in range(2):  # the second write replaces the first
-        writers.write_orc(catalog.sample_fraction(T(spark, sf, "events"), 1.0, seed=1), path)
+        writers.write_orc(catalog.sample_fraction(T(spark, sf, "events"), 0.3, seed=7, key=["event_id"]), path)
     return _event_totals(spark.read.orc(path))
 
 
@@ -208,8 +212,9 @@ def snk_4(spark, sf):
 """)
 def snk_5(spark, sf):
     with writers.kept(daily_counts(T(spark, sf, "events"), "ts", "event_type")) as counts:
-        total = counts.agg(F.sum("count")).first()[0]
-        return counts.select("event_type", "day", F.round(F.col("count") / F.lit(total), 8).alias("share"))
+        total = counts.agg(F.sum("count")).scalar()
+        # Stored while the counts are still kept.
+        return cut_lineage(counts.select("event_type", "day", F.round(F.col("count") / total, 8).alias("share")))
 
 
 @query("snk_6", """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from punctua.functions.draws import draw_unit
+
 
 def use_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -24,9 +26,14 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
-    """Each row with probability ``fraction``; no shuffle."""
-    return df.sample(fraction=fraction, seed=seed)
+def sample_fraction(df: DataFrame, fraction: float, seed: int = 0, key: list[str] | None = None) -> DataFrame:
+    """Each row with probability ``fraction``; no shuffle.
+
+    The draw depends on the ``key`` (integer columns), or on all columns, and
+    not on partitions; rows that agree in it stay or go together.
+    """
+    drawn = draw_unit(seed, *map(F.col, key)) if key else F.shiftrightunsigned(_draw(df, seed, None), 11) / float(1 << 53)
+    return df.filter(drawn < fraction)
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 0, key: list[str] | None = None) -> DataFrame:
