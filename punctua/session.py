@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,10 @@ SETTINGS = {
 }
 
 
+#: Scratch folders of this driver.
+_SCRATCH: list[str] = []
+
+
 def build_session(name: str = "punctua", master: str | None = None, **extra: str) -> SparkSession:
     """Session with :data:`SETTINGS`; ``extra`` holds further ``spark.*`` settings."""
     builder = SparkSession.builder.appName(name)
@@ -42,13 +48,27 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         known = tempfile.mkdtemp(prefix="punctua-")
+        atexit.register(shutil.rmtree, known, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", known)
     return known
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other job uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this driver has put under the shared folder so far.
+
+    To be called once the results are written: frames may still read from it.
+    """
+    context = spark.sparkContext
+    while _SCRATCH:
+        path = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
