@@ -8,6 +8,7 @@ neighbouring keys unrelated.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 MODULUS = 2147483647
@@ -23,6 +24,14 @@ def draw_int(seed: int, *keys: Column) -> Column:
     return _mix(x)
 
 
+def draw_numpy(seed: int, *keys: np.ndarray) -> np.ndarray:
+    """The same integers for whole arrays of keys, inside a task."""
+    x = np.int64(seed % MODULUS)
+    for key in keys:
+        x = _mix_numpy((x * STEP_A + np.mod(key.astype(np.int64), MODULUS) * STEP_B) % MODULUS)
+    return _mix_numpy(x)
+
+
 def draw_unit(seed: int, *keys: Column) -> Column:
     """Double in [0, 1)."""
     return draw_int(seed, *keys) / F.lit(float(MODULUS))
@@ -40,5 +49,9 @@ def _mix(x: Column) -> Column:
     return (x * (x + F.lit(STEP_A)) + F.lit(11)) % F.lit(MODULUS)
 
 
+def _mix_numpy(x: np.ndarray) -> np.ndarray:
+    return (x * (x + STEP_A) + 11) % MODULUS
+
+
 def _mix_sql(x: str) -> str:
     return f"list_transform([({x})::BIGINT], lambda q: (q * (q + {STEP_A}) + 11) % {MODULUS})[1]"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.functions.delays import MEASURED, delay_seconds
-from punctua.functions.draws import draw_int, draw_unit
+from punctua.functions.draws import MODULUS, draw_int, draw_numpy
 from punctua.functions.text import non_empty, starts_with
 from punctua.functions.times import MINUTE_PATTERN, SECOND_PATTERN, iso_year, safe_ts
 from punctua.operators.joins import keep_keys_in
@@ -206,15 +208,28 @@ def poisson_bootstrap_mean_ci(df: DataFrame, value: str, key: str, b: int = 1000
     """Bootstrap interval of the mean in one pass over a table of any size.
 
     Each row enters replicate r with a Poisson(1) weight drawn from (key, r);
-    for many rows this equals drawing n out of n.  A task reduces its rows to
-    ``b`` weighted sums before anything is shuffled.
+    for many rows this equals drawing n out of n.  A task holds ``b`` weighted
+    sums and sends nothing else; rows are never repeated.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(F.col(key).alias("__key"), F.col(value).cast("double").alias("__x"))
-    each = rows.withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-    each = each.withColumn("__u", draw_unit(seed, F.col("__r"), F.col("__key")))
-    each = each.withColumn("__w", _poisson_weight(F.col("__u")))
-    sums = each.groupBy("__r").agg(F.sum(F.col("__w") * F.col("__x")).alias("__s"), F.sum("__w").alias("__c"))
-    means = sums.select("__r", F.try_divide("__s", "__c").alias("__m"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        F.coalesce(F.col(key).cast("bigint"), F.lit(0)).alias("__key"), F.col(value).cast("double").alias("__x")
+    )
+    steps, block = np.array(poisson_steps()), max(1, 2_000_000 // b)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        replicate = np.arange(b, dtype=np.int64)[:, None]
+        total, weight = np.zeros(b), np.zeros(b)
+        for batch in batches:
+            keys, values = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for at in range(0, len(keys), block):
+                u = draw_numpy(seed, replicate, keys[None, at:at + block]) / float(MODULUS)
+                w = np.searchsorted(steps, u, side="right")
+                total += w @ values[at:at + block]
+                weight += w.sum(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(b)), pa.array(total), pa.array(weight)], names=["r", "s", "c"])
+
+    parts = rows.mapInArrow(sums, "r bigint, s double, c double").groupBy("r").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    means = parts.select("r", F.try_divide("s", "c").alias("__m"))
     return _interval(means, rows, level)
 
 
@@ -228,14 +243,6 @@ def poisson_steps(places: int = 12) -> list[float]:
     return steps
 
 
-def _poisson_weight(u: Column) -> Column:
-    steps = poisson_steps()
-    weight = F.when(u < F.lit(steps[0]), 0)
-    for events, step in enumerate(steps[1:], 1):
-        weight = weight.when(u < F.lit(step), events)
-    return weight.otherwise(len(steps))
-
-
 def _interval(means: DataFrame, rows: DataFrame, level: float) -> DataFrame:
     # b replicate means: their number is an argument, not a size of the data.
     tail = (1 - level) / 2

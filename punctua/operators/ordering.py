@@ -149,7 +149,11 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: s
     """
     slack = 10.0 / accuracy
     sketch = F.percentile_approx(value, [max(q - slack, 0.0), min(q + slack, 1.0)], accuracy)
-    rows = df.filter(F.col(value).isNotNull()).select(F.struct(*keys).alias("__key"), F.col(value).cast("double").alias("__x"))
+    # Equal values of a group are one row with a count, so a value that most rows
+    # share does not weigh on any task.
+    rows = df.filter(F.col(value).isNotNull()).groupBy(F.struct(*keys).alias("__key"), F.col(value).cast("double").alias("__x")).agg(
+        F.count(F.lit(1)).alias("__m")
+    )
     bounds = df.filter(F.col(value).isNotNull()).groupBy(F.struct(*keys).alias("__key")).agg(
         F.count(F.lit(1)).alias("__n"), sketch.alias("__b")
     )
@@ -166,7 +170,7 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: s
     placed = skew_join(rows, bounds, ["__key"], hot=hot).withColumn("__zone", zone)
     inside = F.when(F.col("__zone") == 0, x)
     counted = placed.groupBy("__key", "__n", "__zone", inside.alias("__in")).agg(
-        F.count(F.lit(1)).alias("__c"), F.min("__x").alias("__min"), F.max("__x").alias("__max")
+        F.sum("__m").alias("__c"), F.min("__x").alias("__min"), F.max("__x").alias("__max")
     )
     upto = Window.partitionBy("__key").orderBy("__zone", "__in").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("__upto", F.sum("__c").over(upto))

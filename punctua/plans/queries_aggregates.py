@@ -107,7 +107,7 @@ def agg_11(spark, sf):
     return edges.agg(F.count(F.lit(1)).alias("edges")).select("edges", relational.nodes(edges).agg(F.count(F.lit(1))).scalar().alias("nodes"))
 
 
-REPLICATES = 50
+REPLICATES = 1000
 _POISSON = "list_sum([CAST(u >= s AS INTEGER) FOR s IN [" + ", ".join(repr(s) + "::DOUBLE" for s in aggregates.poisson_steps()) + "]])"
 
 
