@@ -28,11 +28,20 @@ def _event_totals(events):
     )
 
 
-@query("src_1", _EVENT_TOTALS)
+@query("src_1", """
+    SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, min(ts) AS first_ts, max(ts) AS last_ts,
+           count(DISTINCT props) AS props, min(props) AS first_props, max(props) AS last_props
+    FROM events GROUP BY event_type
+""")
 def src_1(spark, sf):
-    path = writers.write_csv(T(spark, sf, "events").drop("props"), scratch_path(spark, "tsv"), sep="\t")
-    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
-    return _event_totals(readers.read_delimited(spark, path, schema))
+    """All columns, the JSON one with its quotes and separators included."""
+    path = writers.write_csv(T(spark, sf, "events"), scratch_path(spark, "tsv"), sep="\t")
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    back = readers.read_delimited(spark, path, schema)
+    props = back.groupBy("event_type").agg(
+        F.count_distinct("props").alias("props"), F.min("props").alias("first_props"), F.max("props").alias("last_props")
+    )
+    return _event_totals(back).join(props, "event_type")
 
 
 @query("src_2", """
