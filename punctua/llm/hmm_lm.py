@@ -44,6 +44,8 @@ END = b""
 FOLDS, HELD_OUT = 5, 1
 _FLUSH = 400_000
 _BATCH = 4096
+#: Texts turned into symbols at a time.
+_ROWS = 1000
 
 
 def word_class(word: bytes) -> int:
@@ -132,7 +134,7 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
         v = shared.value
         get, own = v.number.get, v.symbols - CLASSES
         kind = pa.list_(pa.struct([("token", pa.binary()), ("tf", pa.int32())]))
-        for batch in batches:
+        for batch in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
             cols: list[list] = [[] for _ in range(6)]
             for text in batch.column(2).cast(pa.large_binary()):
                 tokens = _tokens(text.as_py())
