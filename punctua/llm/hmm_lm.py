@@ -99,7 +99,11 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = [(bytes(r["token"]), r["n"]) for r in counts.orderBy(F.desc("n"), "token").limit(KNOWN).collect()]
+    # Words more frequent than a quantile of the counts, so that no task sends more than its part.
+    rank = 1 - KNOWN / distinct if distinct > KNOWN else 0.0
+    least = counts.agg(F.percentile_approx("n", rank, 100_000)).first()[0] if rank else 0
+    often = counts.filter(F.col("n") > least).orderBy(F.desc("n"), "token").limit(KNOWN)
+    top = [(bytes(r["token"]), r["n"]) for r in often.collect()]
     end = counts.filter(F.length("token") == 0).first()
     words = [(END, end["n"] if end else 0)] + [t for t in top if t[0] != END]
     own = words[:OWN]

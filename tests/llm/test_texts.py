@@ -210,7 +210,12 @@ def test_repeated_rows_follow_the_mix(spark):
     assert Counter((r.doc_id, r.source) for r in got.collect()) == +want
 
 
-def test_language_model_base_scores(spark):
+@pytest.mark.parametrize("known, own", [(None, None), (300, 100)])
+def test_language_model_base_scores(spark, monkeypatch, known, own):
+    """Also when most words are looked up by the join."""
+    if known:
+        monkeypatch.setattr(hmm_lm, "KNOWN", known)
+        monkeypatch.setattr(hmm_lm, "OWN", own)
     frame = docs(spark).select("doc_id", "text").union(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text"))
     tokens = lambda t: [*(t or "").encode().lower().split(), b""]
     out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
