@@ -30,6 +30,8 @@ MOST = 2
 #: Newton stops when every source is this close (relative) to its target.
 CLOSE = 1e-9
 STEPS = 60
+#: Sums of decimals are exact, so reruns agree to the last bit.
+EXACT = "decimal(38,10)"
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -62,6 +64,11 @@ def _rate(tilt: Column, x: Column) -> Column:
     return F.lit(float(MOST)) / (1 + (MOST - 1) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -tilt * x))))
 
 
+def _total(value: Column) -> Column:
+    """A sum that does not depend on the order of its rows."""
+    return F.sum(value.cast(EXACT)).cast("double")
+
+
 def tilts(classes: DataFrame) -> DataFrame:
     """(skey, tilt, scale) from classes (skey, words, n, source_size, target).
 
@@ -69,7 +76,7 @@ def tilts(classes: DataFrame) -> DataFrame:
     Sources without words keep tilt 0; full ones get every rate to ``MOST``.
     """
     words_, n = F.col("words").cast("double"), F.col("n").cast("double")
-    scale = F.greatest(F.sum(n * words_ * words_) / F.greatest(F.sum(n * words_), F.lit(1.0)), F.lit(1.0))
+    scale = F.greatest(_total(n * words_ * words_) / F.greatest(_total(n * words_), F.lit(1.0)), F.lit(1.0))
     now = classes.groupBy("skey").agg(scale.alias("scale"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
     full, empty = F.col("target") >= F.col("source_size") * float(MOST), F.col("target") <= 0
     now = now.select(
@@ -86,7 +93,7 @@ def tilts(classes: DataFrame) -> DataFrame:
         rows = classes.select("skey", "words", "n").join(open_.select("skey", "tilt", "scale"), "skey")
         x = words_ / F.col("scale")
         r = _rate(F.col("tilt"), x)
-        sums = rows.groupBy("skey").agg(F.sum(n * r * words_).alias("taken"), F.sum(n * r * (1 - r / MOST) * x * words_).alias("slope"))
+        sums = rows.groupBy("skey").agg(_total(n * r * words_).alias("taken"), _total(n * r * (1 - r / MOST) * x * words_).alias("slope"))
         step = now.join(sums, "skey", "left").withColumn("gap", F.col("taken") - F.col("target"))
         low = F.when(F.col("gap") <= 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(F.col("gap") >= 0, F.col("tilt")).otherwise(F.col("high"))
@@ -116,7 +123,7 @@ def copies_per_class(classes: DataFrame, solved: DataFrame) -> DataFrame:
     rate = F.when(F.col("tilt") == float("inf"), float(MOST)).when(F.col("tilt") == float("-inf"), 0.0).otherwise(_rate(F.col("tilt"), x))
     rows = rows.withColumn("rate", rate)
     upto = Window.partitionBy("skey").orderBy(F.desc("words")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("upto", F.round(F.sum(F.col("n") * F.col("rate")).over(upto)).cast("bigint"))
+    rows = rows.withColumn("upto", F.round(F.sum((F.col("n") * F.col("rate")).cast(EXACT)).over(upto)).cast("bigint"))
     along = Window.partitionBy("skey").orderBy(F.desc("words"))
     total = F.col("upto") - F.coalesce(F.lag("upto").over(along), F.lit(0))
     total = F.greatest(F.lit(0), F.least(F.col("n") * MOST, total)).cast("bigint")
