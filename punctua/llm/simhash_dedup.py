@@ -156,10 +156,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     where no member of the group has one, again one per group.
     """
     rows, groups = _grouped(docs, id_col, text_col, most)
-    kept = rows.join(groups, "print").filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = stored(kept, "kept")
-    out = docs.join(kept.select(F.col("doc_id").alias("__kept")), F.col(id_col).cast("bigint") == F.col("__kept"), "left_semi")
-    if kept.filter("n > 1").take(1):
+    ids = rows.join(groups, "print").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    ids = stored(ids, "ids")
+    # The ids that go are few against those that stay, so theirs is the side to look up.
+    gone = stored(ids.filter("NOT stays").select(F.col("doc_id").alias("__gone")), "gone")
+    out = docs.filter(F.col(id_col).cast("bigint").isNotNull()).join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    if ids.filter("stays AND n > 1").take(1):
         out = out.dropDuplicates([id_col])
     bare = groups.filter("component_id IS NULL").groupBy("component").agg(F.min("print").alias("__print"))
     bare = stored(bare.select("__print"), "kept-bare")
