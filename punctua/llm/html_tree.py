@@ -39,6 +39,12 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = set("head script style template noscript iframe svg math canvas object select button textarea option datalist audio video".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr nobr".split())
+#: What may stand in a head; any other element, and text, ends an open one.
+HEADED = set("base basefont bgsound link meta title noscript noframes script style template".split())
+#: Blocks that end an open unseen element whose end tag is missing.
+BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Unseen elements that may stand in their own kind.
+NESTED = set("template svg object".split())
 #: An opening tag closes an open element of these kinds ...
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: ... up to one of these.
@@ -87,16 +93,39 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
 
+def _ended(source: str) -> set[int]:
+    """Where unseen elements begin that have an end tag of their own."""
+    out: set[int] = set()
+    begun: dict[str, list[int]] = {}
+    for found in MARKUP.finditer(source):
+        name = (found["name"] or "").lower()
+        if name not in UNSEEN:
+            continue
+        waiting = begun.setdefault(name, [])
+        if found["end"]:
+            if waiting:
+                out.add(waiting.pop())
+        else:
+            if name not in NESTED:
+                waiting.clear()
+            waiting.append(found.start())
+    return out
+
+
 def parse(source: str) -> Page:
     """Block elements as nodes and their texts as blocks, in page order.
 
     Inline elements belong to the block around them.  What stands outside
-    visible elements (head, scripts, styles) is not in the result.
+    visible elements (head, scripts, styles) is not in the result.  A head ends
+    at what cannot stand in it, other unseen elements without an end tag with an
+    ancestor or at the next block.
     """
     page = Page([Node("#page", -1)])
     stack: list[tuple[str, int]] = [("#page", 0)]  # (tag, node of the nearest block)
     run: list[tuple[str, bool]] = []
     hidden = 0  # height of the stack at which an unseen element began
+    ends = True  # whether that element has an end tag
+    ended: set[int] | None = None
     links = 0
 
     def flush() -> None:
@@ -130,6 +159,8 @@ def parse(source: str) -> Page:
     while at < n:
         found = MARKUP.search(source, at)
         stop = found.start() if found else n
+        if hidden and stack[-1][0] == "head" and SPACE.sub("", source[at:stop]):
+            close(len(stack) - 1)
         if stop > at and not hidden:
             run.append((source[at:stop], links > 0))
         if not found:
@@ -152,6 +183,11 @@ def parse(source: str) -> Page:
             if not hidden:
                 run.append((" ", links > 0))
             continue
+        if hidden and (
+            (stack[hidden][0] == "head" and (name == "body" or (stack[-1][0] == "head" and name not in HEADED)))
+            or (not ends and name in BLOCKS)
+        ):
+            close(hidden)
         if name in VOID:
             if name == "hr" and not hidden:
                 flush()
@@ -177,6 +213,9 @@ def parse(source: str) -> Page:
             node = len(page.nodes) - 1
         if name in UNSEEN and not hidden:
             hidden = len(stack)
+            if name != "head" and name not in RAW:
+                ended = _ended(source) if ended is None else ended
+            ends = name == "head" or name in RAW or found.start() in ended
         stack.append((name, node))
         links += name == "a"
     if not hidden:

@@ -53,6 +53,29 @@ def test_page_forms(model, name):
     assert html_tree.extract(PAGES[name], model) == TEXT
 
 
+UNCLOSED = {
+    "body ends head": f"<html><head><title>t</title><body><article>{BODY}</article>",
+    "block ends head": f"<head><meta charset=utf-8><title>t</title><style>p{{}}</style><article>{BODY}</article>",
+    "text ends head": f"<head><title>t</title> \n Words <article>{BODY}</article>",
+    "noscript in head": f"<head><noscript><style>p{{}}</style><body><article>{BODY}</article>",
+    **{f"{tag} in article": f"<body><article>{BODY.replace('<ul>', f'<{tag}>hidden words<ul>')}</article>" for tag in ("button", "select", "object", "svg", "video", "noscript")},
+    "option": f"<body><select><option>a<option>b<article>{BODY}</article>",
+    "next one is closed": f"<body><button>Go<article>{BODY}</article><button>Go</button>",
+    "closed with its ancestor": f"<body><div><object>no</div><article>{BODY}</article>",
+}
+
+
+@pytest.mark.parametrize("name", UNCLOSED)
+def test_unseen_elements_left_open(model, name):
+    text = html_tree.extract(UNCLOSED[name], model)
+    assert text.removeprefix("Words\n") == TEXT and "hidden" not in text
+
+
+def test_closed_unseen_elements_keep_their_blocks(model):
+    page = f"<body><article>{BODY}<button><div>Label</div></button><object><object>x</object><p>Instead</p></object><select><option>a</select></article>"
+    assert html_tree.extract(page, model) == TEXT
+
+
 def test_pages_that_break_parsers(spark, model):
     deep = "<div>" * 30_000 + "x" + "</div>" * 10
     rows = [(1, "u", None), (1, "u", ""), (None, None, "<p"), (2, "u", deep), (3, "u", "<a href='" * 2000), (4, "u", "<!-- open"), (5, "u", "</p></div>&#x;&bogus;<<>>"), (6, "u", "<article>" + "<p>word. </p>" * 20_000 + "</article>")]
