@@ -12,6 +12,16 @@ from punctua.operators.features import assemble, standardise
 from punctua.sources.writers import kept
 
 
+#: Starts of which the one with the least cost is kept, each until its centres rest.
+STARTS, MAX_ITER, TOLERANCE = 10, 300, 1e-4
+
+
+def best_of_starts(data: DataFrame, seed: int, **settings) -> KMeansModel:
+    """The cheapest of ``STARTS`` fits; the first of equal ones."""
+    fits = (KMeans(seed=seed + i, maxIter=MAX_ITER, tol=TOLERANCE, **settings).fit(data) for i in range(STARTS))
+    return min(fits, key=lambda model: model.summary.trainingCost)
+
+
 def kmeans(df: DataFrame, cols: list[str], k: int = 4, seed: int = 0, name: str = "cluster", distinct_by: list[str] | None = None) -> DataFrame:
     """Add the cluster number of each row.
 
@@ -21,14 +31,14 @@ def kmeans(df: DataFrame, cols: list[str], k: int = 4, seed: int = 0, name: str
     points = assemble(df, cols, "__features")
     base = points.select(*distinct_by, "__features").distinct() if distinct_by else points
     with kept(base.select("__features")) as data:
-        model = KMeans(featuresCol="__features", predictionCol=name, k=k, seed=seed).fit(data)
+        model = best_of_starts(data, seed, featuresCol="__features", predictionCol=name, k=k)
     return model.transform(points).drop("__features")
 
 
 def kmeans_elbow(df: DataFrame, cols: list[str], ks: Sequence[int] = range(2, 10), seed: int = 0) -> DataFrame:
     """Sum of squared distances to the centres for each number of clusters."""
     with kept(assemble(df, cols, "features").select("features")) as data:
-        rows = [(k, float(KMeans(k=k, seed=seed).fit(data).summary.trainingCost)) for k in ks]
+        rows = [(k, float(best_of_starts(data, seed, k=k).summary.trainingCost)) for k in ks]
     return df.sparkSession.createDataFrame(rows, "k INT, distortion DOUBLE")
 
 

@@ -190,7 +190,7 @@ def cls_2(spark, sf):
 @query("cls_3")
 def cls_3(spark, sf):
     """Grid of penalties on the label column of the vectors."""
-    return delay_model.grid_search(_vectors(spark, sf), numeric=_DIMS, categories=[], label="label", max_iter=5)
+    return delay_model.grid_search(_vectors(spark, sf), numeric=_DIMS, categories=[], label="label", max_iter=100)
 
 
 @query("cls_4", "SELECT 1000 AS held_out, count(*) - 1000 AS kept, TRUE AS disjoint FROM events")

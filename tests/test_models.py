@@ -188,3 +188,21 @@ def test_registered_function(spark):
     df = spark.createDataFrame([("AbC",)], "v STRING")
     assert df.select(lower("v")).first()[0] == "abc"
     assert spark.sql("SELECT lower_all('XY')").first()[0] == "xy"
+
+
+def test_kmeans_keeps_the_best_of_several_starts(spark):
+    """Eight groups apart: one start often puts two centres into one of them."""
+    df = spark.createDataFrame([(float(1000 * g + i),) for g in range(8) for i in range(5)], "x double")
+    costs = [clustering.kmeans_elbow(df, ["x"], [8], seed).first().distortion for seed in (1, 2)]
+    assert costs == pytest.approx([80.0, 80.0])
+    assert clustering.kmeans(df, ["x"], 8, 1).groupBy("cluster").count().filter("count = 5").count() == 8
+
+
+def test_penalties_are_compared_on_converged_fits(spark, monkeypatch):
+    from punctua.plans import queries_models
+
+    asked = {}
+    monkeypatch.setattr(queries_models, "_vectors", lambda spark, sf: None)
+    monkeypatch.setattr(queries_models.delay_model, "grid_search", lambda rows, **settings: asked.update(settings))
+    queries_models.cls_3(spark, "")
+    assert asked["max_iter"] == 100
