@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, pii, quality_rules, simhash_dedup, site_quality, warc
+from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, piece_codec, pii, quality_rules, simhash_dedup, site_quality, warc
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: The byte-level vocabulary: BPE file and rank file.
 BYTE_BPE = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
+#: The SentencePiece model.
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
 #: Key of the surrogates; a real run passes a secret one.
 PII_KEY = "surrogates-1"
 
@@ -106,3 +109,8 @@ def op4(spark, sf):
 def op10(spark, sf):
     rows = warc.archive(table(spark, sf, "pages"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "position")
+
+
+@query("op13_sentencepiece_round_trip")
+def op13(spark, sf):
+    return piece_codec.round_trip(table(spark, sf, "documents"), PIECE_BPE)
