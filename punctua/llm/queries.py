@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, piece_codec, pii, quality_rules, simhash_dedup, site_quality, warc
+from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, phrases, piece_codec, pii, quality_rules, simhash_dedup, site_quality, warc
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,8 @@ def op10(spark, sf):
 @query("op13_sentencepiece_round_trip")
 def op13(spark, sf):
     return piece_codec.round_trip(table(spark, sf, "documents"), PIECE_BPE)
+
+
+@query("op12_phrase_collocations")
+def op12(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents"))
