@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctua.llm import entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, phrases, piece_codec, pii, quality_rules, simhash_dedup, site_quality, warc
+from punctua.llm import conversation_trie, entropy_mix, hmm_lm, html_tree, lattice_dedup, packing, phrases, piece_codec, pii, quality_rules, simhash_dedup, site_quality, warc
 from punctua.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,8 @@ def op13(spark, sf):
 @query("op12_phrase_collocations")
 def op12(spark, sf):
     return phrases.collocations(table(spark, sf, "documents"))
+
+
+@query("op11_conversation_trie")
+def op11(spark, sf):
+    return conversation_trie.trie(table(spark, sf, "conversations"))
