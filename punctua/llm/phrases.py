@@ -159,7 +159,9 @@ def _frequent(texts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     counts = texts.mapInArrow(count, "node bigint, edge int, n int").withColumn("node", F.shiftrightunsigned(F.shiftleft("node", 24), 24))
     edges = counts.repartition("node").groupBy("node", "edge").agg(F.sum("n").alias("n"))
     nodes = edges.groupBy("node").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("node", F.lit(0).alias("edge"))
-    marks = nodes.unionByName(edges.filter((F.col("n") >= least) & (F.col("edge") > 0)).select("node", "edge"))
+    # Piece ends (edge 0) may mark their node once more.  A filter on ``edge`` here
+    # would move before the shuffle, and the shuffle then be done for each side.
+    marks = nodes.unionByName(edges.filter(F.col("n") >= least).select("node", "edge"))
     node_bit = F.pmod("node", F.lit(BITS))
     edge_bit = F.pmod((F.col("node") * 40_503).bitwiseXOR(F.col("edge").cast("bigint") * 2_654_435_761), F.lit(BITS))
     at = marks.select((F.col("edge") > 0).alias("e"), F.when(F.col("edge") > 0, edge_bit).otherwise(node_bit).alias("bit"))
