@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.functions.delays import MEASURED, delay_seconds
-from punctua.functions.draws import MODULUS, draw_int, draw_numpy
+from punctua.functions.draws import MODULUS, draw_numpy
 from punctua.functions.text import non_empty, starts_with
 from punctua.functions.times import MINUTE_PATTERN, SECOND_PATTERN, iso_year, safe_ts
 from punctua.operators.joins import keep_keys_in
-from punctua.operators.ordering import exact_quantile, number_rows
+from punctua.operators.ordering import exact_quantile
 
 
 def count_by(df: DataFrame, keys: dict[str, Column], name: str = "n") -> DataFrame:
@@ -184,24 +184,69 @@ def transpose(df: DataFrame, key: str, keys: Sequence, name: str = "variable") -
     return long.groupBy(name).pivot(key, list(keys)).agg(F.first("__value", ignorenulls=True))
 
 
-def bootstrap_mean_ci(df: DataFrame, value: str, b: int = 10_000, seed: int = 0, order: list[str] | None = None, level: float = 0.95) -> DataFrame:
-    """Mean and bootstrap interval of the mean, from ``b`` resamples of n out of n.
+#: Blocks a table is dealt to for the bootstrap: leaves of the binomial tree.
+BLOCKS = 1024
+#: Rows of a block whose draws are made at once.
+DRAWN_ROWS = 256
 
-    The draws are a function of (replicate, position), so the result does not
-    depend on partitioning.  Meant for tables such as fold errors; ``b * n``
-    draws are made and the means are formed map-side.  For big tables use
-    :func:`poisson_bootstrap_mean_ci`.
+
+def bootstrap_mean_ci(df: DataFrame, value: str, b: int = 10_000, seed: int = 0, key: list[str] | None = None, level: float = 0.95) -> DataFrame:
+    """Mean and bootstrap interval of the mean, from ``b`` resamples of n out of n rows.
+
+    A resample is a multinomial count per row, so it can be split: a tree of
+    binomial draws halves the blocks of rows and tells each block how many of the
+    n draws fall into it, for all replicates.  Every task walks from the root to its
+    own blocks, with generators that depend on the node alone, and so agrees with all
+    others.  Inside a block the rest is split row group by row group.  A task
+    returns ``b`` sums; rows are never repeated, and a retried task draws the same.
+
+    ``key`` (all columns by default) deals rows to blocks and orders them there.
     """
-    order = order or [value]
-    numbered = number_rows(df.filter(F.col(value).isNotNull()), order, "__i").select("__i", F.col(value).alias("__x"))
-    n = numbered.count()
-    spark = df.sparkSession
-    draws = spark.range(b * n).select(
-        F.floor(F.col("id") / F.lit(n)).alias("__r"), F.pmod(F.col("id"), F.lit(n)).alias("__k")
-    )
-    draws = draws.select("__r", (F.pmod(draw_int(seed, F.col("__r"), F.col("__k")), F.lit(n)) + 1).alias("__i"))
-    means = draws.join(numbered, "__i").groupBy("__r").agg(F.avg("__x").alias("__m"))
-    return _interval(means, numbered, level)
+    rows = df.filter(F.col(value).isNotNull())
+    place = [F.col(c) for c in key or [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]]
+    rows = rows.select(F.pmod(F.xxhash64(*place), F.lit(BLOCKS)).cast("int").alias("block"), F.xxhash64(F.lit(1), *place).alias("at"), F.col(value).cast("double").alias("__x"))
+    # At most BLOCKS counts.
+    sizes = np.zeros(BLOCKS, np.int64)
+    for r in rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["block"]] = r["n"]
+    n = int(sizes.sum())
+    group = DRAWN_ROWS
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, block = np.zeros(b), None
+        for batch in batches:
+            blocks, values = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                if blocks[lo] != block:
+                    block = int(blocks[lo])
+                    draws, left = _block_draws(sizes, block, b, seed), int(sizes[block])
+                    rng = np.random.Generator(np.random.Philox([seed, 1, block]))
+                for at in range(lo, hi, group):
+                    x = values[at:min(hi, at + group)]
+                    here = draws if len(x) == left else rng.binomial(draws, len(x) / left)
+                    draws, left = draws - here, left - len(x)
+                    picked = x[rng.integers(0, len(x), int(here.sum()), dtype=np.int32)]
+                    # Sums of runs; one zero at the end lets a run be empty.
+                    total += np.where(here > 0, np.add.reduceat(np.append(picked, 0.0), np.concatenate(([0], np.cumsum(here)[:-1]))), 0.0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(b)), pa.array(total)], names=["r", "s"])
+
+    dealt = rows.repartition("block").sortWithinPartitions("block", "at", "__x")
+    parts = dealt.mapInArrow(sums, "r bigint, s double").groupBy("r").agg(F.sum("s").alias("s"))
+    return _interval(parts.select("r", F.try_divide(F.col("s"), F.lit(float(n))).alias("__m")), rows, level)
+
+
+def _block_draws(sizes: np.ndarray, block: int, b: int, seed: int) -> np.ndarray:
+    """How many of the n draws of each replicate fall into ``block``."""
+    draws, lo, hi, node = np.full(b, sizes.sum()), 0, len(sizes), 1
+    while hi - lo > 1:
+        half = (lo + hi) // 2
+        left, both = sizes[lo:half].sum(), sizes[lo:hi].sum()
+        share = np.random.Generator(np.random.Philox([seed, 0, node])).binomial(draws, left / both)
+        draws, lo, hi, node = (share, lo, half, 2 * node) if block < half else (draws - share, half, hi, 2 * node + 1)
+    return draws
 
 
 def poisson_bootstrap_mean_ci(df: DataFrame, value: str, key: str, b: int = 1000, seed: int = 0, level: float = 0.95) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
 from punctua.operators.features import assemble, standardise
@@ -53,20 +56,53 @@ def kmeans_silhouette(df: DataFrame, cols: list[str], ks: Sequence[int] = range(
     return df.sparkSession.createDataFrame(rows, "k INT, score DOUBLE")
 
 
-def cluster_series(matrix: DataFrame, key: str, k: int = 4, seed: int = 1, max_iter: int = 10, standardised: bool = False) -> tuple[DataFrame, KMeansModel]:
-    """Cluster the rows of a key x day matrix; returns members and the model.
+def series_vectors(counts: DataFrame, key: str, day: str = "day", value: str = "count") -> DataFrame:
+    """(key, features): one sparse vector per key, of its values at integer ``day`` >= 0.
 
-    The raw counts are clustered unless ``standardised`` is set.
+    Days without a row are 0 and take no room; there is no column per day, so
+    neither keys nor days are collected.  Values of one day add up.
     """
-    days = [c for c in matrix.columns if c != key]
-    points = standardise(matrix, days, False, "features") if standardised else assemble(matrix, days)
-    points = points.select(key, "features")
+    cells = counts.filter(F.col(key).isNotNull() & F.col(day).isNotNull()).groupBy(key, F.col(day).cast("int").alias("__d")).agg(F.sum(value).cast("double").alias("__v"))
+    size = (cells.agg(F.max("__d")).first()[0] or 0) + 1
+    vector = F.udf(lambda days, values: Vectors.sparse(size, days, values), VectorUDT())
+    rows = cells.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__d", "__v"))).alias("__c"))
+    return rows.select(key, vector("__c.__d", "__c.__v").alias("features"))
+
+
+def cluster_series(
+    counts: DataFrame, key: str, k: int = 4, seed: int = 1, day: str = "day", value: str = "count", standardised: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Cluster the series of a counts table (key, day, value).
+
+    Returns the members (key, cluster, size) and the centres (cluster, day, value),
+    both of the best of several converged starts.  ``size`` is the cluster's number
+    of members; days on which a centre is 0 have no row.  The raw counts are
+    clustered unless ``standardised`` is set; centres then are in that scale.
+    """
+    points = series_vectors(counts, key, day, value)
+    if standardised:
+        scale = StandardScaler(inputCol="features", outputCol="__s", withMean=False)
+        points = scale.fit(points).transform(points).select(key, F.col("__s").alias("features"))
     with kept(points) as data:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(data)
-    return model.transform(points).select(key, F.col("prediction").alias("cluster")), model
+        model = best_of_starts(data, seed, k=k)
+    spark = counts.sparkSession
+    cells = [(c, int(d), float(centre[d])) for c, centre in enumerate(model.clusterCenters()) for d in np.flatnonzero(centre)]
+    centres = spark.createDataFrame(cells, "cluster INT, day INT, value DOUBLE")
+    sizes = spark.createDataFrame([(i, int(n)) for i, n in enumerate(model.summary.clusterSizes)], "cluster INT, size BIGINT")
+    members = model.transform(points).select(key, F.col("prediction").alias("cluster"))
+    return members.join(sizes, "cluster").select(key, "cluster", "size"), centres
+
 
+def series_distances(counts: DataFrame, centres: DataFrame, key: str, day: str = "day", value: str = "count") -> DataFrame:
+    """(key, cluster, distance): squared distance of every series to every centre.
 
-def cluster_sizes(model: KMeansModel, df: DataFrame) -> DataFrame:
-    """Members per cluster, as counted during the fit."""
-    rows = [(i, int(n)) for i, n in enumerate(model.summary.clusterSizes)]
-    return df.sparkSession.createDataFrame(rows, "cluster INT, size BIGINT")
+    Only the days a series has are joined; the rest of a centre comes in by its norm.
+    """
+    cells = counts.groupBy(key, F.col(day).cast("int").alias("day")).agg(F.sum(value).cast("double").alias("__v"))
+    norms = centres.groupBy("cluster").agg(F.sum(F.col("value") * F.col("value")).alias("__c"))
+    # A series meets every centre, also one it shares no day with: k rows per series.
+    clusters = centres.select("cluster").distinct().agg(F.array_sort(F.collect_list("cluster"))).scalar()
+    own = cells.groupBy(key).agg(F.sum(F.col("__v") * F.col("__v")).alias("__x")).withColumn("cluster", F.explode(clusters))
+    shared = cells.join(centres, "day").groupBy(key, "cluster").agg(F.sum(F.col("__v") * F.col("value")).alias("__s"))
+    rows = own.join(shared, [key, "cluster"], "left").join(norms, "cluster")
+    return rows.select(key, "cluster", (F.col("__x") - 2 * F.coalesce("__s", F.lit(0.0)) + F.col("__c")).alias("distance"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from punctua.operators.ordering import chunk_if_long, every_seconds, number_rows, running
+from punctua.operators.ordering import chunk_if_long, every_seconds, running
+from punctua.operators.selection import number_parts
 
 
 def floor_time(ts: str, step: int) -> Column:
@@ -68,13 +69,14 @@ def time_series_folds(df: DataFrame, order: list[str], n_splits: int = 20) -> Da
     """Number the expanding folds of a time-ordered split.
 
     ``fold`` 0 is trained on only; split i trains on the folds below i and
-    tests on fold i.  Test folds have ``floor(rows / (n_splits + 1))`` rows.
+    tests on fold i.  Test folds have ``floor(rows / (n_splits + 1))`` rows.  The
+    rows stay where they are: only the keys at the folds' ends are looked up.
     """
-    numbered = number_rows(df, order, "__row")
-    n = numbered.count()
-    size = n // (n_splits + 1)
-    if size == 0:
-        raise ValueError(f"{n} rows are too few for {n_splits} splits")
-    start = n - n_splits * size
-    fold = F.floor((F.col("__row") - 1 - F.lit(start)) / F.lit(size)) + 1
-    return numbered.withColumn("fold", F.greatest(fold, F.lit(0)).cast("int")).drop("__row")
+
+    def last_rows(n: int) -> list[int]:
+        size = n // (n_splits + 1)
+        if size == 0:
+            raise ValueError(f"{n} rows are too few for {n_splits} splits")
+        return [n - (n_splits - i) * size for i in range(n_splits)]
+
+    return number_parts(df, order, last_rows, "fold")

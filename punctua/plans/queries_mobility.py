@@ -145,27 +145,30 @@ def requests(spark, sf):
     )
 
 
-def labels(spark, sf, pareto=False):
+def search(spark, sf, asked=None):
     return routing.route(
-        requests(spark, sf), line_stop_times(spark, sf), walks(spark, sf), delay_cdf(line_delays(spark, sf), ["vehicle"]),
-        cdf_keys=("vehicle",), transfer=TRANSFER, per_minute=1, slice_width=50, pareto=pareto,
+        requests(spark, sf) if asked is None else asked, line_stop_times(spark, sf), walks(spark, sf), delay_cdf(line_delays(spark, sf), ["vehicle"]),
+        cdf_keys=("vehicle",), transfer=TRANSFER, per_minute=1, slice_width=50,
     )
 
 
-def _route_sql(pareto: bool = False) -> str:
+def best_routes(spark, sf):
+    """The latest of all routes worth offering per request."""
+    return routing.recover(search(spark, sf), requests(spark, sf)).filter("route_no = 1")
+
+
+def _route_sql() -> str:
     """The rounds written out one by one; a ride here is any pair of stops of a trip."""
 
     def best(rows: str, columns: str = "*") -> str:
         """The labels worth keeping per request and stop."""
-        order = "p DESC, walk, rides, rnd, path DESC"
-        if not pareto:
-            return f"SELECT {columns} FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY req_id, stop_id ORDER BY dep DESC, {order}) = 1"
+        order = "p DESC, walk, rides, rnd, t DESC, d DESC, b DESC, nd DESC, nf DESC"
         one = f"SELECT {columns} FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY req_id, stop_id, dep ORDER BY {order}) = 1"
         later = "max(p) OVER (PARTITION BY req_id, stop_id ORDER BY dep DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
         return f"SELECT * FROM ({one}) QUALIFY p > coalesce({later}, -1)"
 
     walk = """
-        SELECT l.req_id, w.src_stop_id AS stop_id, l.dep - w.minutes AS dep, l.p, l.walk + w.minutes AS walk, l.rides, l.rnd, l.q, l.earliest, l.dest_id,
+        SELECT l.req_id, w.src_stop_id AS stop_id, l.dep - w.minutes AS dep, l.p, l.walk + w.minutes AS walk, l.rides, l.rnd, l.q, l.earliest, l.dest_id, 'foot' AS t, w.dst_stop_id AS d, CAST(l.dep AS BIGINT) AS b, CAST(l.dep AS BIGINT) AS nd, false AS nf,
                list_prepend({'t': 'foot', 'v': 'foot', 's': w.src_stop_id, 'd': w.dst_stop_id, 'a': l.dep - w.minutes, 'b': CAST(l.dep AS BIGINT), 'p': l.p}, l.path) AS path
         FROM %s l JOIN foot w ON w.dst_stop_id = l.stop_id WHERE l.dep - w.minutes >= l.earliest AND w.src_stop_id <> l.dest_id"""
     parts = [f"""
@@ -175,6 +178,7 @@ def _route_sql(pareto: bool = False) -> str:
         foot AS MATERIALIZED (SELECT src_stop_id, dst_stop_id, CAST(min(duration) AS INTEGER) AS minutes FROM ({WALKS_SQL}) WHERE src_stop_id <> dst_stop_id GROUP BY ALL),
         start AS (SELECT CAST(s_nationkey AS BIGINT) AS req_id, CAST(min(s_suppkey) AS VARCHAR) AS stop_id, CAST(2000 + s_nationkey * 20 AS BIGINT) AS dep, 1.0::DOUBLE AS p,
                          0 AS walk, 0 AS rides, 0 AS rnd, {CONFIDENCE}::DOUBLE AS q, CAST(1300 + s_nationkey * 20 AS BIGINT) AS earliest, CAST(min(s_suppkey) AS VARCHAR) AS dest_id,
+                         CAST(NULL AS VARCHAR) AS t, CAST(NULL AS VARCHAR) AS d, CAST(NULL AS BIGINT) AS b, CAST(NULL AS BIGINT) AS nd, CAST(NULL AS BOOLEAN) AS nf,
                          CAST([] AS STRUCT(t VARCHAR, v VARCHAR, s VARCHAR, d VARCHAR, a BIGINT, b BIGINT, p DOUBLE)[]) AS path
                   FROM supplier GROUP BY s_nationkey),
         l0 AS MATERIALIZED ({best("SELECT * FROM start UNION ALL BY NAME " + walk % 'start')})"""]
@@ -182,22 +186,24 @@ def _route_sql(pareto: bool = False) -> str:
         before = f"l{k - 1}"
         parts.append(f"""
         off{k} AS MATERIALIZED (
-            SELECT l.req_id, a.trip_id, a.stop_sequence, a.arrival, a.stop_id AS "to", a.vehicle, l.walk, l.rides, l.path, l.q, l.earliest, l.dest_id, l.p * c.chance AS p
+            SELECT l.req_id, a.trip_id, a.stop_sequence, a.arrival, a.stop_id AS "to", a.vehicle, l.walk, l.rides, l.path, l.dep AS nd, coalesce(l.t = 'foot', false) AS nf, l.q, l.earliest, l.dest_id, l.p * c.chance AS p
             FROM {before} l JOIN st a ON a.stop_id = l.stop_id AND l.rnd = {k - 1}
                  AND a.arrival + CASE WHEN l.stop_id = l.dest_id THEN 0 ELSE {TRANSFER} END <= l.dep AND a.arrival >= l.earliest
             JOIN cdf c ON c.vehicle = a.vehicle AND c.bin = {bin_sql(f"CAST(l.dep - a.arrival - CASE WHEN l.stop_id = l.dest_id THEN 0 ELSE {TRANSFER} END AS DOUBLE)")}
             WHERE l.p * c.chance >= l.q),
         on{k} AS MATERIALIZED (
-            SELECT o.req_id, s.stop_id, s.departure AS dep, o.p, o.walk, o.rides + 1 AS rides, {k} AS rnd, o.q, o.earliest, o.dest_id,
+            SELECT o.req_id, s.stop_id, s.departure AS dep, o.p, o.walk, o.rides + 1 AS rides, {k} AS rnd, o.q, o.earliest, o.dest_id, s.trip_id AS t, o."to" AS d, CAST(o.arrival AS BIGINT) AS b, CAST(o.nd AS BIGINT) AS nd, o.nf,
                    list_prepend({{'t': s.trip_id, 'v': s.vehicle, 's': s.stop_id, 'd': o."to", 'a': s.departure, 'b': o.arrival, 'p': o.p}}, o.path) AS path, o.stop_sequence AS osq
             FROM off{k} o JOIN st s ON s.trip_id = o.trip_id AND s.stop_sequence < o.stop_sequence AND s.departure >= o.earliest AND s.stop_id <> o.dest_id
-            QUALIFY row_number() OVER (PARTITION BY o.req_id, s.trip_id, s.stop_sequence ORDER BY o.p DESC, o.walk, o.rides, o.stop_sequence) = 1),
+            QUALIFY row_number() OVER (PARTITION BY o.req_id, s.trip_id, s.stop_sequence ORDER BY o.p DESC, o.walk, o.rides, o.stop_sequence, o.nd DESC, o.nf DESC) = 1),
         r{k} AS MATERIALIZED ({best(f"SELECT * FROM on{k}", "* EXCLUDE (osq)")}),
         l{k} AS MATERIALIZED ({best(f"SELECT * FROM {before} UNION ALL BY NAME SELECT * FROM r{k} UNION ALL BY NAME {walk % f'r{k}'}")})""")
     return "WITH " + ",".join(parts)
 
 
 _LABELS_SQL = _route_sql()
+#: The latest route per request.
+_FIRST_SQL = f"SELECT * FROM l{ROUNDS} JOIN ask USING (req_id, stop_id) QUALIFY row_number() OVER (PARTITION BY req_id ORDER BY dep DESC) = 1"
 _ASK_SQL = "SELECT CAST(s_nationkey AS BIGINT) AS req_id, CAST(max(s_suppkey) AS VARCHAR) AS stop_id FROM supplier GROUP BY s_nationkey"
 
 
@@ -205,41 +211,41 @@ _ASK_SQL = "SELECT CAST(s_nationkey AS BIGINT) AS req_id, CAST(max(s_suppkey) AS
     SELECT req_id, stop_id, dep, CAST(walk AS INTEGER) AS walk, CAST(rides AS INTEGER) AS rides FROM l{ROUNDS}
 """)
 def mob_10(spark, sf):
-    return labels(spark, sf).select("req_id", "stop_id", "dep", "walk", "rides")
+    return search(spark, sf).labels.select("req_id", "stop_id", "dep", "walk", "rides")
 
 
 @query("mob_11", f"{_LABELS_SQL} SELECT req_id, count(*) AS n, round(min(p), 8) AS worst, round(avg(p), 8) AS mean_p FROM l{ROUNDS} GROUP BY req_id")
 def mob_11(spark, sf):
-    return labels(spark, sf).groupBy("req_id").agg(row_count(), F.round(F.min("p"), 8).alias("worst"), F.round(F.avg("p"), 8).alias("mean_p"))
+    return search(spark, sf).labels.groupBy("req_id").agg(row_count(), F.round(F.min("p"), 8).alias("worst"), F.round(F.avg("p"), 8).alias("mean_p"))
 
 
 @query("mob_12", f"""{_LABELS_SQL}, ask AS ({_ASK_SQL})
     SELECT req_id, l.stop_id, l.dep, round(l.p, 8) AS p, CAST(len(l.path) AS INTEGER) AS legs, array_to_string([x.t || ':' || x.s || '>' || x.d FOR x IN l.path], ' ') AS way
-    FROM l{ROUNDS} l JOIN ask USING (req_id, stop_id)
+    FROM ({_FIRST_SQL}) l
 """)
 def mob_12(spark, sf):
-    found = routing.recover(labels(spark, sf), requests(spark, sf))
+    found = best_routes(spark, sf)
     way = F.transform("path", lambda x: F.concat(x["trip_id"], F.lit(":"), x["src_stop_id"], F.lit(">"), x["dst_stop_id"]))
     return found.select("req_id", "stop_id", "dep", F.round("p", 8).alias("p"), F.size("path").alias("legs"), F.array_join(way, " ").alias("way"))
 
 
-@query("mob_10_list", f"""{_route_sql(pareto=True)}, ask AS ({_ASK_SQL})
+@query("mob_10_list", f"""{_LABELS_SQL}, ask AS ({_ASK_SQL})
     SELECT req_id, CAST(row_number() OVER (PARTITION BY req_id ORDER BY dep DESC) AS INTEGER) AS route_no, dep, round(p, 8) AS p, CAST(walk AS INTEGER) AS walk, CAST(rides AS INTEGER) AS rides
     FROM l{ROUNDS} l JOIN ask USING (req_id, stop_id)
 """)
 def mob_10_list(spark, sf):
     """All routes worth offering per request, from the latest on."""
-    found = routing.recover(labels(spark, sf, pareto=True), requests(spark, sf))
+    found = routing.recover(search(spark, sf), requests(spark, sf))
     return found.select("req_id", "route_no", "dep", F.round("p", 8).alias("p"), "walk", "rides")
 
 
 @query("mob_13", f"""{_LABELS_SQL}, ask AS ({_ASK_SQL}),
-    legs AS (SELECT req_id, round(l.p * 100, 2) AS confidence, unnest(l.path) AS x, generate_subscripts(l.path, 1) - 1 AS leg_no FROM l{ROUNDS} l JOIN ask USING (req_id, stop_id))
+    legs AS (SELECT req_id, round(l.p * 100, 2) AS confidence, unnest(l.path) AS x, generate_subscripts(l.path, 1) - 1 AS leg_no FROM ({_FIRST_SQL}) l)
     SELECT req_id, CAST(leg_no AS INTEGER) AS leg_no, x.t AS trip_id, x.v AS vehicle, x.a AS departure, x.b AS arrival, f.s_name AS "from", g.s_name AS "to", confidence
     FROM legs JOIN supplier f ON CAST(f.s_suppkey AS VARCHAR) = x.s JOIN supplier g ON CAST(g.s_suppkey AS VARCHAR) = x.d
 """)
 def mob_13(spark, sf):
-    table = routing.route_table(routing.recover(labels(spark, sf), requests(spark, sf)), stops(spark, sf))
+    table = routing.route_table(best_routes(spark, sf), stops(spark, sf))
     return table.select(
         "req_id", "leg_no", "trip_id", "vehicle", "departure", "arrival",
         F.col("src_stop_id_name").alias("from"), F.col("dst_stop_id_name").alias("to"), "confidence",

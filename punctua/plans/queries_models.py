@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from punctua.functions import delays, times
+from punctua.functions.draws import draw_sql
 from punctua.operators import clustering, delay_history, delay_model, features, regression, trends
 from punctua.operators.aggregates import bootstrap_mean_ci
 from punctua.plans.derived import LINE_DELAYS_SQL, STOP_EVENTS_SQL, T, bin_sql, line_delays, stop_events
 from punctua.plans.queries_series import FOLDS_SQL
 from punctua.plans.registry import query, row_count
 from punctua.sources.catalog import holdout
+from punctua.sources.writers import kept
 
 
 @query("fea_1", "SELECT event_type, round(sum(value), 4) AS first_sum, CAST(sum(user_id) AS DOUBLE) AS second_sum FROM events GROUP BY event_type")
@@ -69,27 +71,67 @@ def _vectors(spark, sf):
 _DIMS = [f"d{i}" for i in range(64)]
 
 
-@query("clu_1")
+#: Lloyd's fixed point: every border lies halfway between two neighbouring means.
+@query("clu_1", """
+    SELECT 4 AS clusters, count(*) AS n, round(min(c_acctbal), 2) AS lowest, round(max(c_acctbal), 2) AS highest, TRUE AS apart, TRUE AS halfway FROM customer
+""")
 def clu_1(spark, sf):
     found = clustering.kmeans(T(spark, sf, "customer"), ["c_acctbal"], k=4, seed=0, name="balance_cluster")
-    return found.groupBy("balance_cluster").agg(row_count(), F.min("c_acctbal").alias("lowest"), F.max("c_acctbal").alias("highest"))
+    each = found.groupBy("balance_cluster").agg(row_count(), F.min("c_acctbal").alias("lowest"), F.max("c_acctbal").alias("highest"), F.avg("c_acctbal").alias("mean"))
+    # One row per cluster from here on.
+    after = Window.orderBy("lowest")
+    each = each.withColumns({"next": F.lead("lowest").over(after), "next_mean": F.lead("mean").over(after)})
+    middle, slack = (F.col("mean") + F.col("next_mean")) / 2, F.lit(5.0)
+    fine = F.col("next").isNull() | ((F.col("highest") <= middle + slack) & (F.col("next") >= middle - slack))
+    return each.agg(
+        F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("n").alias("n"), F.round(F.min("lowest"), 2).alias("lowest"), F.round(F.max("highest"), 2).alias("highest"),
+        F.every(F.col("next").isNull() | (F.col("highest") < F.col("next"))).alias("apart"), F.every(fine).alias("halfway"),
+    )
 
 
-@query("clu_2")
+#: One cluster has the whole variance, evenly spread values about 1/k^2 of it, and more clusters never cost more.
+@query("clu_2", """
+    SELECT k.range::INTEGER AS k, TRUE AS falling, TRUE AS near_even, round(v, 2) AS total FROM range(2, 10) k, (SELECT count(*) * var_pop(c_acctbal) AS v FROM customer)
+""")
 def clu_2(spark, sf):
-    return clustering.kmeans_elbow(T(spark, sf, "customer"), ["c_acctbal"])
+    customer = T(spark, sf, "customer")
+    total = customer.agg(F.count("c_acctbal") * F.var_pop("c_acctbal")).scalar()
+    costs = clustering.kmeans_elbow(customer, ["c_acctbal"])
+    before = F.lag("distortion").over(Window.orderBy("k"))
+    share = F.col("distortion") / total * F.col("k") * F.col("k")
+    return costs.select("k", (before.isNull() | (F.col("distortion") < before)).alias("falling"), share.between(0.8, 1.25).alias("near_even"), F.round(total, 2).alias("total"))
 
 
-@query("clu_3")
+#: A silhouette lies between -1 and 1; of ten labelled groups it finds more than chance.
+@query("clu_3", "SELECT k.range::INTEGER AS k, TRUE AS in_range FROM range(2, 10) k")
 def clu_3(spark, sf):
-    return clustering.kmeans_silhouette(_vectors(spark, sf), _DIMS)
+    scores = clustering.kmeans_silhouette(_vectors(spark, sf), _DIMS)
+    return scores.select("k", F.col("score").between(-1.0, 1.0).alias("in_range"))
 
 
-@query("clu_4")
+@query("clu_4", """
+    WITH c AS (SELECT user_id, CAST(dayofyear(ts) AS INTEGER) AS day, count(*) AS n FROM events GROUP BY ALL)
+    SELECT count(DISTINCT user_id) AS members, sum(n)::BIGINT AS counted, 4 AS clusters, TRUE AS sizes, TRUE AS nearest, TRUE AS means, TRUE AS better_than_one FROM c
+""")
 def clu_4(spark, sf):
+    """What the members and centres of the clustered series must satisfy."""
     counts = trends.daily_counts(T(spark, sf, "events"), "ts", "user_id")
-    members, model = clustering.cluster_series(trends.series_matrix(counts, "user_id"), "user_id")
-    return members.groupBy("cluster").agg(row_count()).join(clustering.cluster_sizes(model, members), "cluster")
+    members, centres = clustering.cluster_series(counts, "user_id")
+    with kept(members) as members:
+        sums = counts.join(members, "user_id").groupBy("cluster", "day").agg(F.sum("count").alias("total"), (F.sum("count") / F.max("size")).alias("mean"))
+        off = sums.join(centres, ["cluster", "day"], "full").agg(F.max(F.abs(F.coalesce("mean", F.lit(0.0)) - F.coalesce("value", F.lit(0.0)))).alias("off"), F.sum("total").alias("counted"))
+        near = clustering.series_distances(counts, centres, "user_id")
+        best = near.groupBy("user_id").agg(F.min("distance").alias("least"))
+        own = near.join(members, ["user_id", "cluster"]).join(best, "user_id")
+        per = own.groupBy("cluster", "size").agg(row_count(), F.every(F.col("distance") <= F.col("least") + 1e-6).alias("nearest"), F.sum("distance").alias("cost"))
+        row = per.agg(F.sum("n").alias("members"), F.count(F.lit(1)).cast("int").alias("clusters"), F.every(F.col("n") == F.col("size")).alias("sizes"), F.every("nearest").alias("nearest"), F.sum("cost").alias("cost"))
+        n = F.lit(members.count())
+        squares = counts.agg(F.sum(F.col("count") * F.col("count"))).scalar()
+        whole = counts.groupBy("day").agg(F.sum("count").alias("t")).agg(F.sum(F.col("t") * F.col("t"))).scalar()
+        out = row.join(off).select(
+            "members", "counted", "clusters", "sizes", "nearest", (F.col("off") < 0.01).alias("means"), (F.col("cost") < squares - whole / n).alias("better_than_one")
+        )
+        return spark.createDataFrame(out.collect(), out.schema)
 
 
 @query("reg_1", """
@@ -130,8 +172,8 @@ _TARGET = "d0"
 @query("reg_3")
 def reg_3(spark, sf):
     fit = regression.fit_linear(_vectors(spark, sf), _TARGET, _DIMS[1:])
-    kept = regression.select_by_coefficient(fit)
-    return regression.coefficients(spark, fit).withColumn("kept", F.col("feature").isin(*kept))
+    chosen = regression.select_by_coefficient(fit)
+    return regression.coefficients(spark, fit).withColumn("kept", F.col("feature").isin(*chosen))
 
 
 @query("reg_4")
@@ -193,12 +235,14 @@ def cls_3(spark, sf):
     return delay_model.grid_search(_vectors(spark, sf), numeric=_DIMS, categories=[], label="label", max_iter=100)
 
 
-@query("cls_4", "SELECT 1000 AS held_out, count(*) - 1000 AS kept, TRUE AS disjoint FROM events")
+@query("cls_4", f"""
+    SELECT place <= 1000 AS held_out, count(*) AS n, sum(event_id)::BIGINT AS ids, round(sum(value), 4) AS total
+    FROM (SELECT *, row_number() OVER (ORDER BY {draw_sql(3, 'event_id')}, event_id) AS place FROM events) GROUP BY 1
+""")
 def cls_4(spark, sf):
-    kept, out = holdout(T(spark, sf, "events"), 1000, ["event_id"], seed=3)
-    both = kept.join(out, "event_id", "left_semi").agg((F.count(F.lit(1)) == 0).alias("disjoint"))
-    counts = out.agg(F.count(F.lit(1)).cast("int").alias("held_out"))
-    return counts.select("held_out", kept.agg(F.count(F.lit(1))).scalar().alias("kept"), both.scalar().alias("disjoint"))
+    rest, out = holdout(T(spark, sf, "events"), 1000, ["event_id"], seed=3)
+    both = rest.withColumn("held_out", F.lit(False)).unionByName(out.withColumn("held_out", F.lit(True)))
+    return both.groupBy("held_out").agg(row_count(), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("cls_5", f"""

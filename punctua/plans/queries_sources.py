@@ -170,7 +170,7 @@ def src_9(spark, sf):
     return catalog.sample_fraction(T(spark, sf, "events"), 0.01, seed=7, key=["event_id"])
 
 
-@query("src_10")
+@query("src_10", f"SELECT * FROM events ORDER BY {draw_sql(7, 'event_id')}, event_id LIMIT 1000")
 def src_10(spark, sf):
     return catalog.sample_n(T(spark, sf, "events"), 1000, seed=7, key=["event_id"])
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from punctua.functions.draws import draw_unit
+from punctua.functions.draws import draw_int, draw_unit
+from punctua.operators.selection import first_rows, number_parts
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -39,33 +40,27 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int = 0, key: list[str
 def sample_n(df: DataFrame, n: int, seed: int = 0, key: list[str] | None = None) -> DataFrame:
     """Exactly ``n`` random rows (all rows if there are fewer).
 
-    The draw is a hash of the ``key`` columns (all columns by default), so it
-    does not change when a task is retried.  ``n`` may be in the millions: rows
-    above a cut that leaves slightly more than ``n`` are dropped in place, so
-    the final ordering sees about ``n`` rows instead of the best ``n`` of every
-    task.
+    Rows are drawn by a number made from integer ``key`` columns, or from all
+    columns, so a retried task draws the same.  The number of the n-th row is found
+    by counting; the rest is a filter in place, without a shuffle or an order.
     """
-    drawn = df.withColumn("__draw", _draw(df, seed, key))
-    total = df.count()
-    if total > 2 * n + 1000:
-        cut = (n + 8 * n**0.5 + 64) / total
-        near = drawn.filter(F.col("__draw") < F.lit(int(-(2**63) + cut * 2**64)))
-        if near.count() >= n:
-            drawn = near
-    return drawn.orderBy("__draw", *(key or [])).limit(n).drop("__draw")
+    drawn = df.withColumn("__draw", _number(df, seed, key))
+    return first_rows(drawn, ["__draw", *(key or [])], n).drop("__draw")
 
 
 def holdout(df: DataFrame, n: int, key: list[str], seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Split off ``n`` random rows: (rest, held out).
+    """Split off ``n`` random rows: (rest, held out), both filters on one number per row.
 
-    ``key`` must identify a row.  One pass finds the hash of the ``n``-th row;
-    both parts are then plain filters on the hash, without a shuffle.
+    ``key`` are integer columns that identify a row.
     """
-    drawn = df.withColumn("__draw", F.struct(_draw(df, seed, key), *key))
-    last = sample_n(df.select(*key), n, seed, key).withColumn("__draw", F.struct(_draw(df, seed, key), *key))
-    out = F.coalesce(F.col("__draw") <= last.agg(F.max("__draw")).scalar(), F.lit(False))
-    return drawn.filter(~out).drop("__draw"), drawn.filter(out).drop("__draw")
+    drawn = number_parts(df.withColumn("__draw", _number(df, seed, key)), ["__draw", *key], lambda total: [min(n, total)], "__part")
+    return tuple(drawn.filter(F.col("__part") == part).drop("__draw", "__part") for part in (1, 0))
 
 
-def _draw(df: DataFrame, seed: int, key: list[str] | None):
+def _number(df: DataFrame, seed: int, key: list[str] | None) -> Column:
+    """A number per row: from the key, or else from all columns."""
+    return draw_int(seed, *map(F.col, key)) if key else _draw(df, seed, None)
+
+
+def _draw(df: DataFrame, seed: int, key: list[str] | None) -> Column:
     return F.xxhash64(F.lit(seed), *(key or df.columns))
