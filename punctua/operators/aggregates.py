@@ -186,6 +186,8 @@ def transpose(df: DataFrame, key: str, keys: Sequence, name: str = "variable") -
 
 #: Blocks a table is dealt to for the bootstrap: leaves of the binomial tree.
 BLOCKS = 1024
+#: Nodes near the root whose draws a task keeps.
+KEPT_NODES = 128
 #: Rows of a block whose draws are made at once.
 DRAWN_ROWS = 256
 
@@ -213,7 +215,7 @@ def bootstrap_mean_ci(df: DataFrame, value: str, b: int = 10_000, seed: int = 0,
     group = DRAWN_ROWS
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, block = np.zeros(b), None
+        total, block, memo = np.zeros(b), None, {}
         for batch in batches:
             blocks, values = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
@@ -222,7 +224,7 @@ def bootstrap_mean_ci(df: DataFrame, value: str, b: int = 10_000, seed: int = 0,
                     continue
                 if blocks[lo] != block:
                     block = int(blocks[lo])
-                    draws, left = _block_draws(sizes, block, b, seed), int(sizes[block])
+                    draws, left = _block_draws(sizes, block, b, seed, memo), int(sizes[block])
                     rng = np.random.Generator(np.random.Philox([seed, 1, block]))
                 for at in range(lo, hi, group):
                     x = values[at:min(hi, at + group)]
@@ -238,13 +240,17 @@ def bootstrap_mean_ci(df: DataFrame, value: str, b: int = 10_000, seed: int = 0,
     return _interval(parts.select("r", F.try_divide(F.col("s"), F.lit(float(n))).alias("__m")), rows, level)
 
 
-def _block_draws(sizes: np.ndarray, block: int, b: int, seed: int) -> np.ndarray:
-    """How many of the n draws of each replicate fall into ``block``."""
+def _block_draws(sizes: np.ndarray, block: int, b: int, seed: int, memo: dict[int, np.ndarray]) -> np.ndarray:
+    """How many of the n draws of each replicate fall into ``block``; ``memo`` keeps
+    the left shares of the first nodes."""
     draws, lo, hi, node = np.full(b, sizes.sum()), 0, len(sizes), 1
     while hi - lo > 1:
-        half = (lo + hi) // 2
-        left, both = sizes[lo:half].sum(), sizes[lo:hi].sum()
-        share = np.random.Generator(np.random.Philox([seed, 0, node])).binomial(draws, left / both)
+        half, share = (lo + hi) // 2, memo.get(node)
+        if share is None:
+            left, both = sizes[lo:half].sum(), sizes[lo:hi].sum()
+            share = np.random.Generator(np.random.Philox([seed, 0, node])).binomial(draws, left / both)
+            if node < KEPT_NODES:
+                memo[node] = share
         draws, lo, hi, node = (share, lo, half, 2 * node) if block < half else (draws - share, half, hi, 2 * node + 1)
     return draws
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from punctua.operators.features import assemble, standardise
@@ -17,11 +19,18 @@ from punctua.sources.writers import kept
 
 #: Starts of which the one with the least cost is kept, each until its centres rest.
 STARTS, MAX_ITER, TOLERANCE = 10, 300, 1e-4
+#: Starts that run at the same time.
+AT_ONCE = 5
 
 
 def best_of_starts(data: DataFrame, seed: int, **settings) -> KMeansModel:
-    """The cheapest of ``STARTS`` fits; the first of equal ones."""
-    fits = (KMeans(seed=seed + i, maxIter=MAX_ITER, tol=TOLERANCE, **settings).fit(data) for i in range(STARTS))
+    """The cheapest of ``STARTS`` fits; the first of equal ones.
+
+    Fits are many short jobs, so a few run at once.
+    """
+    fit = lambda i: KMeans(seed=seed + i, maxIter=MAX_ITER, tol=TOLERANCE, **settings).fit(data)
+    with ThreadPool(AT_ONCE) as pool:
+        fits = pool.map(inheritable_thread_target(data.sparkSession)(fit), range(STARTS))
     return min(fits, key=lambda model: model.summary.trainingCost)
 
 

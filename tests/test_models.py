@@ -224,7 +224,7 @@ def test_bootstrap_counts_are_multinomial(spark):
     n, draws = 4000, []
     sizes = np.bincount(np.arange(40) % 5)
     for block in range(5):
-        draws.append(aggregates._block_draws(sizes, block, n, 9))
+        draws.append(aggregates._block_draws(sizes, block, n, 9, {}))
     assert (np.sum(draws, axis=0) == 40).all()
     for block in range(5):
         assert abs(draws[block].mean() - 8) < 0.2 and abs(draws[block].var() - 40 * 0.2 * 0.8) < 0.6
