@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from punctua.llm.common import place, ranked, stored, words
+from punctua.llm.common import RANK_CHUNK, place, stored, words
 
 #: Fixed values of the contract.
 WEIGHTS = (5, 2, 1)
@@ -169,32 +169,58 @@ def plan(base: DataFrame) -> DataFrame:
     every = F.when(F.col("words") == 0, 0).otherwise(F.floor(F.col("total") / F.col("n"))).cast("bigint")
     more = F.when(F.col("words") == 0, 0).otherwise(F.col("total") - F.floor(F.col("total") / F.col("n")) * F.col("n"))
     given = stored(given.join(totals, "skey").withColumns({"every": every, "more": more}), "plan")
-    some = base.select("skey", "words", "draw").join(given.filter("more > 0").select("skey", "words", "n", "more"), ["skey", "words"])
-    some = some.select("*", F.col("skey.none").alias("none"), F.col("skey.name").alias("name"))
-    last = ranked(some, ["none", "name", "words"], [F.col("draw")], "rank", per_key="n").filter("rank = more - 1")
-    last = last.select("skey", "words", place([F.col("draw")], F.col("n")).alias("last"))
+    # Rows with one draw (equal id and text) are one row with a count here.
+    some = base.join(given.filter("more > 0").select("skey", "words", "n", "more"), ["skey", "words"])
+    some = some.groupBy("skey", "words", "draw").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("more").alias("more"))
+    some = some.withColumn("place", place([F.col("draw")], F.col("n"))).withColumn("chunk", F.col("place.chunk"))
+    counts = some.groupBy("skey", "words", "chunk").agg(F.sum("m").alias("c"))
+    earlier = Window.partitionBy("skey", "words").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("skey", "words", "chunk", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("skey", "words", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    some = some.withColumn("inside", F.sum("m").over(inside)).join(counts, ["skey", "words", "chunk"])
+    below = F.col("before") + F.col("inside") - F.col("m")
+    last = some.filter((below < F.col("more")) & (F.col("more") <= below + F.col("m")))
+    last = last.select("skey", "words", F.col("place").alias("last"), (F.col("more") - below).alias("tied"))
     return stored(given.join(last, ["skey", "words"], "left").drop("more", "total"), "plan")
 
 
-def _copies() -> Column:
-    more = F.col("last").isNotNull() & (place([F.col("draw")], F.col("n")) <= F.col("last"))
-    return (F.col("every") + F.when(more, 1).otherwise(0)).cast("bigint")
+def _given(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """``rows`` (skey, words, draw and others) with the columns of the plan and their ``copies``.
+
+    Of rows that share the last draw, as many get one more copy as the plan says.
+    Those that are equal in all columns are counted and written out again, in runs,
+    so that a group of them is bound to no task.
+    """
+    at = place([F.col("draw")], F.col("n"))
+    joined = rows.join(planned, ["skey", "words"])
+    on_edge = F.col("last").isNotNull() & (at == F.col("last"))
+    more = F.when(F.col("last").isNotNull() & (at < F.col("last")), 1).otherwise(0)
+    sure = joined.filter(~on_edge).withColumn("copies", (F.col("every") + more).cast("bigint"))
+    edge = joined.filter(on_edge).groupBy(*joined.columns).agg(F.count(F.lit(1)).alias("__m"))
+    ahead = Window.partitionBy("skey", "words").orderBy(F.xxhash64(*joined.columns)).rowsBetween(Window.unboundedPreceding, -1)
+    lucky = F.least(F.greatest(F.col("tied") - F.coalesce(F.sum("__m").over(ahead), F.lit(0)), F.lit(0)), F.col("__m"))
+    edge = edge.withColumn("__lucky", lucky)
+    kinds = F.array(F.struct((F.col("every") + 1).alias("copies"), F.col("__lucky").alias("times")), F.struct(F.col("every").alias("copies"), (F.col("__m") - F.col("__lucky")).alias("times")))
+    edge = edge.withColumn("__kind", F.explode(kinds)).filter("__kind.times > 0")
+    edge = edge.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__kind.times") - 1, F.lit(RANK_CHUNK).cast("bigint")))).repartition("skey", "words", "__run")
+    size = F.least(F.lit(RANK_CHUNK), F.col("__kind.times") - F.col("__run")).cast("int")
+    edge = edge.withColumn("copies", F.col("__kind.copies").cast("bigint")).withColumn("__one", F.explode(F.array_repeat(F.lit(1), size)))
+    return sure.unionByName(edge.select(sure.columns))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, rate, copies and taken (copies times size).
 
     A NULL text has size 0 and gets no copy; a NULL source is a source of its
-    own.  Rows that repeat id and text get the same copies.  Reruns agree.  A
+    own.  Of rows that repeat id and text, as many get one more copy as the target
+    asks for.  Reruns agree.  A
     source without words has target 0.  Other columns are ignored; an empty
     table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
     base = stored(_sized(rows, "doc_id", "text", "source").drop("text"), "sizes")
-    out = base.join(plan(base), ["skey", "words"])
-    return out.select(
-        "doc_id", "source", F.col("words").alias("size"), "source_size", "target", "rate",
-        _copies().alias("copies"), (_copies() * F.col("words")).alias("taken"),
+    return _given(base, plan(base.select("skey", "words", "draw"))).select(
+        "doc_id", "source", F.col("words").alias("size"), "source_size", "target", "rate", "copies", (F.col("copies") * F.col("words")).alias("taken"),
     )
 
 
@@ -204,6 +230,6 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     inner = docs.select(*[F.col(f"`{c}`").alias(alias) for c, alias in named.items()])
     sized = _sized(inner, named[id_col], named[text_col], named[source_col])
     base = stored(sized.select("skey", "words", "draw"), "sizes")
-    rows = sized.join(plan(base), ["skey", "words"])
-    again = F.explode(F.array_repeat(F.lit(1), _copies().cast("int"))).alias("__copy")
+    rows = _given(sized, plan(base))
+    again = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("__copy")
     return rows.select(*named.values(), again).select(*[F.col(alias).alias(c) for c, alias in named.items()])

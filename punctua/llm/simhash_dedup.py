@@ -152,21 +152,33 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, most: int) -> tuple[Da
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST) -> DataFrame:
     """``docs`` with one row per group of near duplicates: that with the smallest id.
 
-    Of several rows with the kept id one stays.  Rows without an id stay only
-    where no member of the group has one, again one per group.
+    A row stays by its id and fingerprint together, so an id that is repeated with
+    other texts loses none of their groups; of equal ones in both, one stays.  Rows
+    without an id stay only where no member of the group has one, again one per
+    group.  A NULL text is an empty one, other columns are kept as they are, and an
+    empty table gives an empty result.
     """
     rows, groups = _grouped(docs, id_col, text_col, most)
-    ids = rows.join(groups, "print").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    known = rows.join(groups, "print").filter("doc_id IS NOT NULL")
+    # The survivor of a group: its smallest id and, of that, the smallest fingerprint.
+    best = known.filter("doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print"))
+    best = stored(best.select("doc_id", "print"), "survivors")
+    ids = known.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
     ids = stored(ids, "ids")
+    key = F.col(id_col).cast("bigint")
     # The ids that go are few against those that stay, so theirs is the side to look up.
-    gone = stored(ids.filter("NOT stays").select(F.col("doc_id").alias("__gone")), "gone")
-    out = docs.filter(F.col(id_col).cast("bigint").isNotNull()).join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    gone = stored(ids.filter("NOT stays OR n > 1").select(F.col("doc_id").alias("__gone")), "gone")
+    out = docs.filter(key.isNotNull()).join(gone, key == F.col("__gone"), "left_anti")
+    with_print = lambda some: some.withColumn("__print", F.pandas_udf(_prints, "bigint")(F.col(text_col).cast("string")))
     if ids.filter("stays AND n > 1").take(1):
-        out = out.dropDuplicates([id_col])
+        repeated = ids.filter("stays AND n > 1").select(F.col("doc_id").alias("__id"))
+        chosen = best.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"))
+        again = with_print(docs.filter(key.isNotNull()).withColumn("__id", key).join(repeated, "__id", "left_semi"))
+        out = out.unionByName(again.join(chosen, ["__id", "__print"], "left_semi").dropDuplicates(["__id", "__print"]).drop("__id", "__print"))
     bare = groups.filter("component_id IS NULL").groupBy("component").agg(F.min("print").alias("__print"))
     bare = stored(bare.select("__print"), "kept-bare")
     if bare.take(1):
-        marked = docs.filter(F.col(id_col).cast("bigint").isNull()).withColumn("__print", F.pandas_udf(_prints, "bigint")(F.col(text_col).cast("string")))
+        marked = with_print(docs.filter(key.isNull()))
         out = out.unionByName(marked.join(bare, "__print", "left_semi").dropDuplicates(["__print"]).drop("__print"))
     return out
 

@@ -94,6 +94,15 @@ def test_near_duplicates_of_edge_rows(spark):
     assert simhash_dedup.keep_one(rows.limit(0)).count() == 0
 
 
+def test_repeated_ids_with_other_texts_keep_every_group(spark):
+    a, b, c = "alpha beta gamma delta " * 9, "one two three four five " * 8, "north south east west " * 7
+    for rows in ([(1, a), (0, a), (1, b)], [(1, b), (0, a), (1, a)], [(1, a), (1, b), (1, a), (1, c), (2, c), (0, b)]):
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        kept = [(r.doc_id, r.text) for r in simhash_dedup.keep_one(frame).collect()]
+        want = {t: min(i for i, u in rows if u == t) for t in {t for _, t in rows}}
+        assert sorted(kept) == sorted((i, t) for t, i in want.items())
+
+
 def brute(ids, vectors):
     good = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for v in vectors]
     n, links = len(ids), []

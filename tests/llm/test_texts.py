@@ -208,6 +208,22 @@ def test_mix_meets_targets(spark, source):
     assert entropy_mix.mix(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [50_000, 7])
+def test_equal_rows_share_the_copies_of_their_class(spark, monkeypatch, chunk):
+    """1,000 rows equal in id and text: the target is met to one document."""
+    monkeypatch.setattr(entropy_mix, "RANK_CHUNK", chunk)
+    rows = [(1, "one two three", "a", "x")] * 1000 + [(2, "one two three", "b", "x")] * 20 + [(3, "four words are here", "b", "x")] * 30 + [(3, "four words are here", "b", "y")] * 30
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, more string")
+    got = entropy_mix.mix(frame).collect()
+    assert len(got) == len(rows)
+    for source, longest in (("a", 3), ("b", 4)):
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= longest and all(r.taken <= 2 * r["size"] for r in mine)
+    want = Counter((r.doc_id, r.source) for r in got for _ in range(r.copies))
+    assert Counter((r.doc_id, r.source) for r in entropy_mix.repeat_rows(frame).collect()) == want
+    assert sorted(map(str, entropy_mix.mix(frame.repartition(5)).collect())) == sorted(map(str, got))
+
+
 def test_tilt_is_the_entropy_optimum(spark):
     """Of the rates that meet the target, the tilted ones change entropy least."""
     words = [3, 10, 25, 60, 200]
