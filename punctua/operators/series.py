@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.operators.ordering import chunk_if_long, every_seconds, running
 from punctua.operators.selection import number_parts
 
 
+#: Bins of a gap, or of a key's series, that one task fills.
+RUN = 10_000
+
+
 def floor_time(ts: str, step: int) -> Column:
     """Start of the ``step``-second bin that holds ``ts``."""
     start = F.floor(F.unix_timestamp(F.col(ts)) / F.lit(step)) * F.lit(step)
@@ -18,12 +22,11 @@ def resample(df: DataFrame, keys: list[str], ts: str, step: int, aggs: dict[str,
     """Aggregate per key and ``step``-second bin, keeping the empty bins between
     the first and the last one of a key.
 
-    Rows are reduced to bins before anything is ordered, so a key's window holds
-    one row per bin whatever its number of measurements.
+    Rows are reduced to bins before anything is ordered; neither a key nor a gap
+    is bound to one task.
     """
     binned = df.groupBy(*keys, floor_time(ts, step).alias(ts)).agg(*[c.alias(n) for n, c in aggs.items()])
-    pause = F.expr(f"INTERVAL '{step}' SECOND")
-    return _fill_bins(binned, keys, ts, pause, list(aggs))
+    return _fill_bins(binned, keys, ts, step, "SECOND", every_seconds(ts, step * RUN), list(aggs))
 
 
 def resample_calendar(df: DataFrame, keys: list[str], ts: str, unit: str, aggs: dict[str, Column], keep_empty: bool = True) -> DataFrame:
@@ -31,16 +34,24 @@ def resample_calendar(df: DataFrame, keys: list[str], ts: str, unit: str, aggs:
     start = F.date_trunc(unit, F.col(ts)).cast("date")
     binned = df.groupBy(*keys, start.alias(ts)).agg(*[c.alias(n) for n, c in aggs.items()])
     if keep_empty:
-        pause = F.expr("INTERVAL 1 MONTH" if unit == "month" else "INTERVAL 1 DAY")
-        binned = _fill_bins(binned, keys, ts, pause, list(aggs))
+        chunk = F.floor(F.unix_date(ts) / F.lit(RUN * (28 if unit == "month" else 1)))
+        binned = _fill_bins(binned, keys, ts, 1, unit.upper(), chunk, list(aggs))
     return binned.withColumn(ts, F.last_day(ts)) if unit == "month" else binned
 
 
-def _fill_bins(binned: DataFrame, keys: list[str], ts: str, pause: Column, values: list[str]) -> DataFrame:
-    """Repeat each bin up to the next known one, with NULL values."""
-    following = F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts))
-    last = F.coalesce(F.col("__next") - pause, F.col(ts)).cast(binned.schema[ts].dataType)
-    grid = binned.withColumn("__next", following).withColumn("__bin", F.explode(F.sequence(F.col(ts), last, pause)))
+def _fill_bins(binned: DataFrame, keys: list[str], ts: str, step: int, unit: str, chunk: Column, values: list[str]) -> DataFrame:
+    """Repeat each bin up to the next known one, with NULL values.
+
+    The next bin is carried over chunks of a key, and a long gap is cut into runs
+    of ``RUN`` bins that go to tasks of their own.
+    """
+    pause, run, rest = (F.expr(f"INTERVAL '{step * k}' {unit}") for k in (1, RUN, RUN - 1))
+    kind = binned.schema[ts].dataType
+    rows = running(binned, keys, [ts], {"__next": ("last", F.col(ts))}, chunk, descending=True)
+    rows = rows.withColumn("__last", F.coalesce(F.col("__next") - pause, F.col(ts)).cast(kind))
+    rows = rows.withColumn("__run", F.explode(F.sequence(F.col(ts), F.col("__last"), run))).repartition(*keys, "__run")
+    end = F.least((F.col("__run") + rest).cast(kind), F.col("__last"))
+    grid = rows.withColumn("__bin", F.explode(F.sequence(F.col("__run"), end, pause)))
     known = F.col("__bin") == F.col(ts)
     return grid.select(*keys, F.col("__bin").alias(ts), *[F.when(known, F.col(v)).alias(v) for v in values])
 

@@ -136,6 +136,22 @@ def test_folds(spark):
         series.time_series_folds(df, ["t"], 60)
 
 
+@pytest.mark.parametrize("run", [10_000, 3])
+def test_long_gaps_are_filled_in_runs(spark, monkeypatch, run):
+    """One key with a gap of 50 years, and a short and a lone one."""
+    monkeypatch.setattr(series, "RUN", run)
+    rows = [("a", "1970-01-03 05:00:00", 1.0), ("a", "1970-01-03 07:00:00", 3.0), ("a", "2020-01-03 00:00:00", 5.0), ("b", "1999-12-31 23:00:00", 1.0), ("b", "2000-01-02 01:00:00", 2.0), ("c", "1960-02-29 00:00:00", 7.0)]
+    df = spark.createDataFrame(rows, "k STRING, t STRING, v DOUBLE").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    mean = {"v": F.avg("v")}
+    days = series.resample(df, ["k"], "ts", 86_400, mean)
+    got = {r.k: (r.n, r.known, r.first, r.last, r.days) for r in days.groupBy("k").agg(F.count("*").alias("n"), F.count("v").alias("known"), F.min("ts").cast("string").alias("first"), F.max("ts").cast("string").alias("last"), F.countDistinct("ts").alias("days")).collect()}
+    assert got == {"a": (18_263, 2, "1970-01-03 00:00:00", "2020-01-03 00:00:00", 18_263), "b": (3, 2, "1999-12-31 00:00:00", "2000-01-02 00:00:00", 3), "c": (1, 1, "1960-02-29 00:00:00", "1960-02-29 00:00:00", 1)}
+    months = series.resample_calendar(df, ["k"], "ts", "month", mean)
+    ends = [str(r.ts) for r in months.filter("k = 'a'").orderBy("ts").collect()]
+    assert len(ends) == 601 and ends[:2] == ["1970-01-31", "1970-02-28"] and ends[-1] == "2020-01-31"
+    assert series.resample_calendar(df, ["k"], "ts", "day", mean).filter("k = 'b'").count() == 3
+
+
 def test_sampling(spark):
     df = spark.range(20_000)
     picked = catalog.sample_n(df, 500, seed=1, key=["id"])
