@@ -181,7 +181,15 @@ def first_guess(coded: DataFrame, vocab: Vocabulary) -> Model:
     Only where Baum-Welch starts depends on the sample; all it learns comes from
     all training documents.
     """
-    sample = coded.orderBy(F.xxhash64("doc_id", "n_tokens"), "doc_id").select("ids").limit(GUESS_DOCS).collect()
+    drawn = F.xxhash64("doc_id", "n_tokens")
+    total = coded.count()
+    # Rows above a hash that leaves slightly more than wanted go in place, so that all
+    # tasks together, and not each of them, send about GUESS_DOCS documents.
+    share = (GUESS_DOCS + 8 * GUESS_DOCS**0.5 + 64) / max(total, 1)
+    near = coded.filter(drawn < int(2**64 * share) - 2**63) if share < 1 else coded
+    sample = near.orderBy(drawn, "doc_id").select("ids").limit(GUESS_DOCS).collect()
+    if len(sample) < min(GUESS_DOCS, total):  # many equal hashes above the cut
+        sample = coded.orderBy(drawn, "doc_id").select("ids").limit(GUESS_DOCS).collect()
     wide = min(GUESS_SYMBOLS, vocab.symbols)
     x = np.array([np.bincount(np.minimum(r["ids"], wide), minlength=wide + 1)[:wide] for r in sample], np.float64).reshape(-1, wide)
     x = np.log1p(x)
