@@ -69,6 +69,42 @@ def test_conflicts_are_resolved(spark):
     assert len(set(got.values())) == len(texts) and not set(got.values()) & set(texts)
 
 
+def test_a_full_form_ends(spark, monkeypatch):
+    """Every number of one form is a real one, so no surrogate outside is left; rows without id share no group."""
+    monkeypatch.setattr(pii, "TRIES", 3)
+    numbers = [f"+1 {a:02d} {b:02d}" for a in range(100) for b in range(100)]
+    texts = [", ".join(numbers[k:k + 100]) for k in range(0, 10_000, 100)] + [f"Again {numbers[7]}; 123-45-6789"]
+    rows = spark.createDataFrame([(k if k % 3 else None, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    odd = pii.exceptions(rows, "k")
+    assert odd.filter("put is not null").count() == odd.count() == 10_000 and odd.filter("put = normal").count() == 0
+    found = {}
+    for r in pii.replace(rows.withColumn("old", F.col("text")), "k").collect():
+        for old, new in zip(r.old.split(", "), r.text.split(", ")):
+            found.setdefault(old, set()).add(new)
+    again = found.pop(texts[-1]).pop()
+    assert all(len(v) == 1 for v in found.values()) and {v for s in found.values() for v in s} == set(numbers)
+    assert all(old not in new for old, new in found.items())
+    assert again.startswith(f"Again {min(found[numbers[7]])}; ") and "123-45-6789" not in again
+
+
+def test_a_form_nearly_full_stays_distinct(spark, monkeypatch):
+    """Half of a form is real and there are few attempts: some surrogates are drawn, others swapped."""
+    monkeypatch.setattr(pii, "TRIES", 2)
+    numbers = [f"+1 {a:02d} {b:02d}" for a in range(50) for b in range(100)]
+    rows = spark.createDataFrame(list(enumerate(numbers)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in pii.replace(rows, "k").collect()}
+    assert len(set(got.values())) == len(numbers) and all(got[k] != n for k, n in enumerate(numbers))
+    assert 0 < len(set(got.values()) & set(numbers)) < len(numbers)
+
+
+def test_surrogates_keep_the_form_they_may_be_swapped_in(spark):
+    texts = ["+1 12 34 +49 171 1234567 DE89370400440532013000 GB29NWBK60161331926819 123-45-6789 10.0.0.1 4111111111111111 4111111111111112 "
+             "sk-Abcdefghijklmnop1234 24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(F.explode(pii._entities(F.col("text"))).alias("e")).select("e.*")
+    forms = rows.select(*(pii._form(F.col("kind"), n) for n in (F.col("normal"), pii.drawn("k", F.col("kind"), F.col("normal"), F.lit(1))))).collect()
+    assert len(forms) == 10 and all(old == new for old, new in forms)
+
+
 def test_spellings_share_one_surrogate(spark):
     phones, ibans, people = replaced(spark, [
         "+491711234567 is +49 171 1234567, +49-171-1234567 and +49 (0) 171 1234567, not +49 171 1234568",
