@@ -30,8 +30,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Payloads of fewer bytes are stored again rather than referred to.
 LEAST_BYTES = 0
-#: Records per file and index rows per merging task: both are read into memory.
-FILE_RECORDS, MERGE_ROWS = 2_000, 50_000
+#: Records and bytes per file and index rows per merging task: both are read into memory.
+FILE_RECORDS, FILE_BYTES, MERGE_ROWS = 2_000, 128 << 20, 50_000
 _CRLF = "\r\n"
 
 INDEX = "url_key string, captured_at string, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, file string, offset bigint, length bigint"
@@ -66,8 +66,20 @@ def _uri(url: Column) -> Column:
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_BYTES) -> DataFrame:
     """(value): one WARC record per page, without its last line feed."""
+    return _records(pages, id_col, url_col, html_col, least).select("value")
+
+
+def _room(url: Column, html: Column) -> Column:
+    """Records of at most this page's size that fit into a file, as a power of eight; headers are counted generously."""
+    size = F.coalesce(F.octet_length(html.cast("string")), F.lit(0)).cast("bigint") + 8 * F.coalesce(F.octet_length(url.cast("string")), F.lit(0)) + 2048
+    fit = F.greatest(F.floor(F.lit(FILE_BYTES) / size), F.lit(1))
+    return F.when(fit >= FILE_RECORDS, FILE_RECORDS).otherwise(F.pow(F.lit(8), F.floor(F.log2(fit) / 3)).cast("int"))
+
+
+def _records(pages: DataFrame, id_col: str, url_col: str, html_col: str, least: int) -> DataFrame:
+    """:func:`records` with ``room``, as of :func:`_room`."""
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"), _room(F.col(url_col), F.col(html_col)).alias("room"))
     rows = rows.withColumns({"digest": base32_sha1(F.col("payload")), "bytes": F.octet_length("payload").cast("bigint")})
     # Payloads that occur again; the smallest id (and its url) is referred to.
     firsts = rows.filter(F.col("bytes") >= least).groupBy("digest").agg(
@@ -91,12 +103,20 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         field("WARC-Refers-To-Target-URI", _uri(F.col("to_url")), again), field("WARC-Refers-To-Date", F.concat(_date(F.col("to_id")), F.lit("Z")), again),
         field("Content-Type", F.lit("application/http; msgtype=response")), field("Content-Length", length.cast("string")), F.lit(_CRLF),
     )
-    return rows.select(F.concat(head, block, F.lit("\r\n\r")).alias("value"))
+    return rows.select(F.concat(head, block, F.lit("\r\n\r")).alias("value"), "room")
+
 
+def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_BYTES) -> None:
+    """WARC files of at most ``FILE_RECORDS`` records in the folder ``path``.
 
-def write(pages: DataFrame, path: str, **columns: str) -> None:
-    """WARC files of at most ``FILE_RECORDS`` records in the folder ``path``."""
-    records(pages, **columns).write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    A file also stays below about ``FILE_BYTES`` (more only with one record
+    larger than that): pages are written by size class, the large ones with fewer
+    to a file.  An empty table writes one empty file.
+    """
+    rows = _records(pages, id_col, url_col, html_col, least)
+    present = pages.select(_room(F.col(url_col), F.col(html_col)).alias("room")).distinct().collect()  # at most one row per power of eight
+    for room in sorted((r["room"] for r in present), reverse=True) or [FILE_RECORDS]:
+        rows.filter(F.col("room") == room).select("value").write.mode("append").option("lineSep", "\n").option("maxRecordsPerFile", room).text(path)
 
 
 def url_key(url: str) -> str:

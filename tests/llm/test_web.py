@@ -111,6 +111,19 @@ def test_marginals_equal_all_labelings():
     assert all(abs(a - b / total) < 1e-9 for a, b in zip(got, share))
 
 
+def test_archive_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    rows = [(k, f"http://a/{k}", chr(97 + k % 26) * size) for k, size in enumerate([10] * 600 + [40_000 + j for j in range(60)] + [300_000 + j for j in range(8)] + [3_000_000, 0])]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    warc.write(frame, str(tmp_path / "files"))
+    files = [f.read_bytes() for f in (tmp_path / "files").glob("part-*")]
+    found = [list(warc.parse(content)) for content in files]
+    assert all(len(content) <= 1 << 20 or len(own) == 1 for content, own in zip(files, found))
+    assert sorted(r[2] for own in found for r in own if r[5] == "response") == sorted({html: k for k, _, html in reversed(rows)}.values())
+    assert sum(map(len, found)) == len(rows)
+    assert len(warc.archive(frame).select("page_id").distinct().collect()) == len(rows)
+
+
 def test_archive_round_trip(spark):
     trap = "<p>WARC/1.1\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\n\n"
     rows = [(k, f"http://www.Site{k % 3}.com:80/p?q={k % 5}#f", f"page {k % 40} ä") for k in range(300)]
