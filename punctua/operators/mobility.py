@@ -46,16 +46,18 @@ def delay_training(events: DataFrame, years: tuple[int, ...] = (2021, 2022, 2023
     return events.filter(F.col("year").isin(*years))
 
 
-def od_schedule(events: DataFrame, day: str, origin: str, destination: str, service: str = "IC", max_s: int = SAME_JOURNEY_SECONDS) -> DataFrame:
-    """Direct trains from one station to another on one day.
+def od_schedule(
+    events: DataFrame, day: str | None, origin: str, destination: str, service: str = "IC", max_s: int = SAME_JOURNEY_SECONDS
+) -> DataFrame:
+    """Direct trains from one station to another on one day, or on every day (``day`` None).
 
-    Where the table is partitioned by year and month, only that month is read.
+    Where the table is partitioned by year and month, only the month of ``day`` is read.
     """
-    if {"year", "month"} <= set(events.columns):
+    if day is not None and {"year", "month"} <= set(events.columns):
         date = datetime.strptime(day, "%d.%m.%Y")
         events = events.filter((F.col("year") == date.year) & (F.col("month") == date.month))
     real = events.filter(
-        (F.col("trip_day") == day)
+        (F.lit(True) if day is None else F.col("trip_day") == day)
         & (F.col("service_type") == service)
         & ~true_flag("additional_trip")
         & ~true_flag("passes_through")
@@ -63,13 +65,14 @@ def od_schedule(events: DataFrame, day: str, origin: str, destination: str, serv
 
     def side(station: str, column: str, name: str) -> DataFrame:
         at = real.filter((F.col("stop_name") == station) & non_empty(column))
-        return at.select("train_number", F.col(column).alias(name), F.unix_timestamp(safe_ts(column, MINUTE_PATTERN)).alias(f"{name}_s"))
+        return at.select("trip_day", "train_number", F.col(column).alias(name), F.unix_timestamp(safe_ts(column, MINUTE_PATTERN)).alias(f"{name}_s"))
 
     pairs = within_span(
         side(origin, "sched_dep", "departure"), side(destination, "sched_arr", "arrival"),
-        ["train_number"], "departure_s", "arrival_s", max_s,
+        ["trip_day", "train_number"], "departure_s", "arrival_s", max_s,
     )
-    return pairs.orderBy("departure_s", "train_number").select("train_number", "departure", "arrival")
+    named = ["train_number", "departure", "arrival"]
+    return pairs.orderBy("departure_s", "train_number").select(*named if day is not None else ["trip_day", *named])
 
 
 def timetable(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, calendar: DataFrame, routes: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from punctua.functions.text import contains_text, date_shaped, lacks_text, non_empty, starts_with
 from punctua.functions.times import in_clock_window, safe_cast, safe_ts
-from punctua.operators import joins, relational
+from punctua.operators import joins, mobility, relational
 from punctua.operators.mobility import timetable, walking_pairs, with_names
-from punctua.plans.derived import LINE_EDGES_SQL, STOPS_SQL, T, clock_text, distance_sql, line_edges, stops
+from punctua.plans.derived import LINE_EDGES_SQL, STOP_EVENTS_SQL, STOPS_SQL, T, clock_text, distance_sql, line_edges, stop_events, stops
 from punctua.plans.registry import query, row_count
 
 
@@ -250,6 +250,30 @@ def jon_3(spark, sf):
     return pairs.select("user_id", "click_id", "purchase_id", (F.col("end") - F.col("start")).alias("seconds"))
 
 
+_STATION = f"""
+    SELECT strftime(l_shipdate, '%d.%m.%Y') AS trip_day, CAST(l_linenumber AS VARCHAR) AS train_number, r_name AS station,
+           date_trunc('minute', due) AS arrival, date_trunc('minute', sched_dep) AS departure
+    FROM ({STOP_EVENTS_SQL}) JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+    WHERE service_type = 'IC' AND NOT passes_through
+"""
+
+
+@query("jon_3_schedule", f"""
+    WITH s AS ({_STATION})
+    SELECT trip_day, train_number, strftime(d.departure, '%d.%m.%Y %H:%M') AS departure, strftime(a.arrival, '%d.%m.%Y %H:%M') AS arrival
+    FROM s d JOIN s a USING (trip_day, train_number)
+    WHERE d.station = 'EUROPE' AND a.station = 'ASIA' AND d.departure < a.arrival AND epoch(a.arrival) - epoch(d.departure) < 43200
+""")
+def jon_3_schedule(spark, sf):
+    """Direct trains of every day; a station is a region of suppliers here, so that trains do meet."""
+    place = (
+        T(spark, sf, "supplier").join(T(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(T(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("s_name").alias("stop_name"), "r_name")
+    )
+    events = stop_events(spark, sf).join(place, "stop_name").withColumn("stop_name", F.col("r_name")).drop("r_name")
+    return mobility.od_schedule(events, None, "EUROPE", "ASIA")
+
+
 @query("jon_4", _SEMI.format(where="c_mktsegment = 'BUILDING'"))
 def jon_4(spark, sf):
     return _semi(spark, sf, F.col("c_mktsegment") == "BUILDING")

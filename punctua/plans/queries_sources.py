@@ -3,6 +3,8 @@ through the format and are aggregated after it."""
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -250,3 +252,27 @@ def snk_6(spark, sf):
 def cat_1(spark, sf):
     events = T(spark, sf, "events")
     return catalog.describe(events).select("column_name", "type").join(null_census(events), "column_name")
+
+
+@query("cat_1_tables", """
+    SELECT event_type, CAST(day(ts) AS INTEGER) % 4 AS slot, count(*) AS n, round(sum(value), 4) AS total, 6 AS columns, TRUE AS listed, TRUE AS shown
+    FROM events GROUP BY ALL
+""")
+def cat_1_tables(spark, sf):
+    """A table over folders that were written without the catalog: created, recovered, listed, previewed and read."""
+    events = T(spark, sf, "events").withColumn("slot", F.day("ts") % 4).drop("props")
+    path, database = scratch_path(spark, "folders"), f"db_{uuid4().hex}"
+    writers.write_partitioned(events, path, ("event_type", "slot"))
+    catalog.create_database(spark, database, scratch_path(spark, "database"))
+    name = f"{database}.events"
+    try:
+        table = catalog.external_table(spark, name, events.schema, path, ["event_type", "slot"], "orc")
+        known = catalog.partitions(spark, name).select(
+            F.col("values.event_type").alias("event_type"), F.col("values.slot").cast("int").alias("slot"),
+            F.lit(catalog.describe(table).count()).cast("int").alias("columns"), F.lit("events" in catalog.tables(spark, database)).alias("listed"),
+            F.lit(catalog.preview(table, 3).count() == 3).alias("shown"),
+        )
+        totals = table.groupBy("event_type", "slot").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+        return cut_lineage(known.join(totals, ["event_type", "slot"], "full"))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")

@@ -2,19 +2,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from punctua.functions.draws import draw_int, draw_unit
 from punctua.operators.selection import first_rows, number_parts
 
 
-def use_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Make ``name`` the current database; it is created, at ``location`` if given, where it is missing."""
+    create_database(spark, name, location)
     spark.catalog.setCurrentDatabase(name)
 
 
-def tables(spark: SparkSession) -> list[str]:
-    return [t.name for t in spark.catalog.listTables()]
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = "" if location is None else f" LOCATION '{_text(location)}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
+
+
+def tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    return [t.name for t in spark.catalog.listTables(database)]
+
+
+def external_table(spark: SparkSession, name: str, schema: StructType, path: str, partitions: Sequence[str], source: str = "parquet") -> DataFrame:
+    """Table over the existing folders ``path/<partition>=<value>/..``, all of them known to the catalog.
+
+    No data is read or moved.  The catalog lists the partitions, so a filter on
+    their columns leaves out folders before any file is listed.  ``name`` may hold a
+    database; a table of that name stays as it is, and folders added since are
+    found by calling this again.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(f"`{c}`" for c in partitions)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING {source} PARTITIONED BY ({by}) LOCATION '{_text(path)}'")
+    spark.sql(f"MSCK REPAIR TABLE {_quoted(name)} SYNC PARTITIONS")
+    return spark.table(_quoted(name))
+
+
+def partitions(spark: SparkSession, name: str) -> DataFrame:
+    """One row per partition the catalog knows: its column values as a map."""
+    listed = spark.sql(f"SHOW PARTITIONS {_quoted(name)}")
+    pairs = F.transform(F.split("partition", "/"), lambda p: F.struct(F.substring_index(p, "=", 1), F.url_decode(F.replace(F.substr(p, F.instr(p, "=") + 1, F.length(p)), F.lit("+"), F.lit("%2B")))))
+    return listed.select(F.map_from_entries(pairs).alias("values"))
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def describe(df: DataFrame) -> DataFrame:

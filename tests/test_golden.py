@@ -153,6 +153,10 @@ def test_od_schedule(spark):
     assert rows(got, "train_number", "departure", "arrival") == [
         ("713", f"{day} 07:30", f"{day} 08:10"), ("731", f"{day} 17:45", f"{day} 18:25"),
     ]
+    # The same train of another day is no connection, and every day has its own rows.
+    other = [tuple(x.replace("23.11", "24.11") if isinstance(x, str) else x for x in r) for r in data[:1] + data[10:]]
+    both = mobility.od_schedule(spark.createDataFrame(data + other, schema), None, "Genève", "Lausanne")
+    assert rows(both, "trip_day", "train_number") == [(day, "713"), (day, "731"), ("24.11.2022", "731")]
 
 
 def test_graph_table_and_edges(spark):
