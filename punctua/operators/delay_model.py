@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.functions.delays import delay_bin, delay_minutes, fallback_chance
 from punctua.functions.text import short_stop_id, strip_letters
-from punctua.functions.times import MINUTE_PATTERN, SECOND_PATTERN, calendar_features, safe_ts
+from punctua.functions.times import DAY_PATTERN, MINUTE_PATTERN, SECOND_PATTERN, calendar_features, safe_date, safe_ts
 from punctua.operators.features import one_hot_stages
 from punctua.sources.writers import kept
 
@@ -36,6 +39,63 @@ def model_rows(events: DataFrame) -> DataFrame:
     return rows.withColumns({**calendar_features("due"), "delay_minutes": late}).withColumn("delay_bin", delay_bin(F.col("delay_minutes")))
 
 
+class EventFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Pipeline stage from raw events to ``NUMERIC`` and ``CATEGORIES``; stored and loaded with its model.
+
+    Minute and hour are those of the scheduled arrival, the other calendar fields
+    those of the operating day, or of the arrival where that is missing or bad.
+    Where the arrival is missing or bad itself, fields are 0; :func:`score_events`
+    gives such rows no chances.
+    """
+
+    dueCol = Param(Params._dummy(), "dueCol", "scheduled arrival, text to the minute", TypeConverters.toString)
+    dayCol = Param(Params._dummy(), "dayCol", "operating day, text", TypeConverters.toString)
+    vehicleCol = Param(Params._dummy(), "vehicleCol", "transport type", TypeConverters.toString)
+    stopCol = Param(Params._dummy(), "stopCol", "stop number", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, dueCol: str = "sched_arr", dayCol: str = "trip_day", vehicleCol: str = "vehicle", stopCol: str = "stop_id"):
+        super().__init__()
+        self._setDefault(dueCol="sched_arr", dayCol="trip_day", vehicleCol="vehicle", stopCol="stop_id")
+        self._set(**self._input_kwargs)
+
+    def due(self) -> Column:
+        return safe_ts(self.getOrDefault("dueCol"), MINUTE_PATTERN)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        due, day = self.due(), safe_date(self.getOrDefault("dayCol"), DAY_PATTERN)
+        of_day = calendar_features(F.coalesce(day, due.cast("date")))
+        fields = {**of_day, "minute": F.minute(due), "hour": F.hour(due)}
+        numbers = {name: F.coalesce(F.when(due.isNotNull(), value), F.lit(0)) for name, value in fields.items()}
+        return df.withColumns({
+            **numbers,
+            "transport_type": F.lower(self.getOrDefault("vehicleCol")),
+            "stop_id": short_stop_id(strip_letters(self.getOrDefault("stopCol"), "Parent")),
+        })
+
+
+def labelled_events(events: DataFrame, stage: EventFeatures | None = None, actual: str = "act_arr") -> DataFrame:
+    """Raw events with a measured arrival, with ``delay_bin``; copies go."""
+    due = (stage or EventFeatures()).due()
+    rows = events.withColumn("delay_bin", delay_bin(delay_minutes(due, safe_ts(actual, SECOND_PATTERN))))
+    return rows.filter(due.isNotNull() & F.col("delay_bin").isNotNull()).distinct()
+
+
+def fit_event_model(labelled: DataFrame, stage: EventFeatures | None = None, **settings) -> PipelineModel:
+    """Delay model whose first stage takes raw events, so that the stored model scores them as they come."""
+    with kept(labelled) as rows:
+        return Pipeline(stages=[stage or EventFeatures(), *delay_pipeline(**settings).getStages()]).fit(rows)
+
+
+def score_events(events: DataFrame, model: PipelineModel) -> DataFrame:
+    """Add ``chances`` to raw events; NULL where the scheduled arrival is missing or bad."""
+    keep = [F.col(f"`{c}`") for c in events.columns]
+    held = events.withColumn("__event", F.struct(*keep))
+    scored = model.transform(held)
+    chances = F.when(model.stages[0].due().isNotNull(), vector_to_array("probability")).alias("chances")
+    return scored.select(*[F.col(f"__event.`{c}`") for c in events.columns if c != "chances"], chances)
+
+
 def delay_pipeline(
     numeric: list[str] = NUMERIC, categories: list[str] = CATEGORIES, label: str = "delay_bin",
     reg: float = 0.1, elastic: float = 0.0, max_iter: int = 100,

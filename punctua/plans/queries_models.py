@@ -12,8 +12,9 @@ from punctua.operators.aggregates import bootstrap_mean_ci
 from punctua.plans.derived import LINE_DELAYS_SQL, STOP_EVENTS_SQL, T, bin_sql, line_delays, stop_events
 from punctua.plans.queries_series import FOLDS_SQL
 from punctua.plans.registry import query, row_count
+from punctua.session import cut_lineage, scratch_path
 from punctua.sources.catalog import holdout
-from punctua.sources.writers import kept
+from punctua.sources.writers import kept, load_model, save_model
 
 
 @query("fea_1", "SELECT event_type, round(sum(value), 4) AS first_sum, CAST(sum(user_id) AS DOUBLE) AS second_sum FROM events GROUP BY event_type")
@@ -229,6 +230,36 @@ def cls_2(spark, sf):
     return delay_model.score(rows, model).groupBy("transport_type").agg(row_count(), F.avg(p).alias("p_within_5"))
 
 
+#: A model with free intercepts that has converged predicts each bin as often as it occurs.
+@query("cls_2_stored", f"""
+    SELECT CAST(b AS INTEGER) AS delay_bin, count(*) AS n, TRUE AS as_frequent, TRUE AS whole, TRUE AS equal
+    FROM (SELECT DISTINCT strftime(l_shipdate, '%d.%m.%Y') AS trip_day, vehicle, s, due, act_arr, {bin_sql('late / 60.0')} AS b
+          FROM (SELECT *, l_suppkey AS s, greatest(0, epoch(date_trunc('second', act_arr)) - epoch(date_trunc('minute', due))) AS late FROM ({STOP_EVENTS_SQL}) WHERE status <> 'PROGNOSE'))
+    GROUP BY b
+""")
+def cls_2_stored(spark, sf):
+    """Raw events scored by a model that was stored and loaded, against the model itself."""
+    events = stop_events(spark, sf).filter(F.col("arr_status") != "PROGNOSE").withColumn("stop_id", F.substring("stop_name", 10, 9))
+    rows = delay_model.labelled_events(events.select("trip_day", "vehicle", "stop_id", "sched_arr", "act_arr"))
+    with kept(rows) as rows:
+        model = delay_model.fit_event_model(rows)
+        loaded = load_model(save_model(model, scratch_path(spark, "delay_model")))
+        both = rows
+        for scorer, name in ((model, "own"), (loaded, "again")):
+            both = delay_model.score_events(both, scorer).withColumnRenamed("chances", name)
+        total = F.aggregate("again", F.lit(0.0), lambda a, x: a + x)
+        apart = F.array_max(F.zip_with("own", "again", lambda a, b: F.abs(a - b)))
+        checked = both.select("delay_bin", F.posexplode("again").alias("bin", "p"), total.alias("total"), apart.alias("apart"))
+        per_bin = checked.groupBy("bin").agg(
+            F.sum("p").alias("expected"), F.count_if(F.col("bin") == F.col("delay_bin")).alias("n"),
+            F.max(F.abs(F.col("total") - 1)).alias("off"), F.max("apart").alias("apart"), F.count(F.lit(1)).alias("rows"),
+        )
+        return cut_lineage(per_bin.filter("n > 0").select(
+            F.col("bin").alias("delay_bin"), "n", (F.abs(F.col("expected") - F.col("n")) < 0.002 * F.col("rows")).alias("as_frequent"),
+            (F.col("off") < 1e-9).alias("whole"), (F.col("apart") == 0).alias("equal"),
+        ))
+
+
 @query("cls_3")
 def cls_3(spark, sf):
     """Grid of penalties on the label column of the vectors."""
