@@ -252,3 +252,24 @@ def test_penalties_are_compared_on_converged_fits(spark, monkeypatch):
     monkeypatch.setattr(queries_models.delay_model, "grid_search", lambda rows, **settings: asked.update(settings))
     queries_models.cls_3(spark, "")
     assert asked["max_iter"] == 100
+
+
+def test_all_starts_of_all_cluster_numbers_move_in_one_pass(spark):
+    """The number of jobs depends on the steps of the slowest fit, not on the number of fits."""
+    x = np.random.default_rng(4).random(1500) * 1e4 + 1e9
+    df = spark.createDataFrame([(float(v),) for v in x] * 2 + [(None,)], "x double")
+    spark.sparkContext.setJobGroup("elbow", "elbow")
+    try:
+        costs = {r.k: r.distortion for r in clustering.kmeans_elbow(df, ["x"], range(2, 8)).collect()}
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("elbow"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 330
+    total = 2 * 1500 * x.var()
+    assert all(0.8 < cost / total * k * k < 1.25 for k, cost in costs.items()) and sorted(costs.values(), reverse=True) == [costs[k] for k in sorted(costs)]
+
+
+def test_fewer_points_than_clusters(spark):
+    df = spark.createDataFrame([(1.0,), (1.0,), (2.0,)], "x double")
+    found = clustering.kmeans(df, ["x"], 4, name="c").groupBy("x").agg(F.count_distinct("c").alias("c"), F.max("c").alias("m")).collect()
+    assert {r.c for r in found} == {1} and len({r.m for r in found}) == 2
