@@ -111,17 +111,30 @@ REPLICATES = 1000
 _POISSON = "list_sum([CAST(u >= s AS INTEGER) FOR s IN [" + ", ".join(repr(s) + "::DOUBLE" for s in aggregates.poisson_steps()) + "]])"
 
 
-@query("agg_12", """
-    SELECT count(value) AS n, round(avg(value), 6) AS mean, -2 AS lower_in_errors, 2 AS upper_in_errors FROM events
+_WEIGHTED = f"""
+    w AS (SELECT r, value, ({draw_sql(5, 'r', 'coalesce(event_id, 0)')})::DOUBLE / {MODULUS}.0::DOUBLE AS u FROM events CROSS JOIN range(0, {REPLICATES}) t(r) WHERE value IS NOT NULL),
+    m AS (SELECT r, sum({_POISSON} * value) / sum({_POISSON}) AS m FROM w GROUP BY r)
+"""
+
+
+@query("agg_12", f"""
+    WITH {_WEIGHTED},
+         band AS (SELECT round(quantile_cont(m, 0.025), 6) AS lower, round(quantile_cont(m, 0.975), 6) AS upper FROM m)
+    SELECT n, mean, lower, upper, -2 AS lower_in_errors, 2 AS upper_in_errors FROM (SELECT count(value) AS n, round(avg(value), 6) AS mean FROM events), band
 """)
 def agg_12(spark, sf):
-    """The exact bootstrap with the reference's 10,000 replicates; for so many rows its
-    band is the normal one, given here in standard errors rounded to whole ones."""
+    """The band of the weighted replicates as it is, which SQL draws again, and the exact
+    bootstrap with the reference's 10,000 replicates; for so many rows the latter's band is
+    the normal one, given here in standard errors rounded to whole ones."""
     events = T(spark, sf, "events")
+    weighted = aggregates.poisson_bootstrap_mean_ci(events, "value", "event_id", b=REPLICATES, seed=5)
+    weighted = weighted.select(*[F.round(c, 6).alias(c) for c in ("lower", "upper")])
     band = aggregates.bootstrap_mean_ci(events, "value", 10_000, 5, ["event_id"])
     error = events.agg((F.stddev_pop("value") / F.sqrt(F.count("value"))).alias("e")).scalar()
     whole = lambda c: F.round((F.col(c) - F.col("mean")) / error).cast("int").alias(f"{c}_in_errors")
-    return band.select(events.agg(F.count("value")).scalar().alias("n"), F.round("mean", 6).alias("mean"), whole("lower"), whole("upper"))
+    # One row each.
+    exact = band.select(events.agg(F.count("value")).scalar().alias("n"), F.round("mean", 6).alias("mean"), whole("lower"), whole("upper"))
+    return exact.crossJoin(weighted)
 
 
 @query("agg_12_poisson", f"""

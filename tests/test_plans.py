@@ -39,3 +39,13 @@ def test_no_python_in_the_plan(spark, name):
 
 def test_top_n(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["lim_1"](spark, FOLDER))
+
+
+def test_the_bootstrap_query_gives_the_band_itself(spark):
+    """Not only its distance in whole standard errors, and its SQL draws the replicates."""
+    from punctua.plans.registry import QUERIES, SQL
+
+    assert "quantile_cont" in SQL["agg_12"]
+    row, old = (QUERIES[name](spark, "/root/testdata/sf0.001").first() for name in ("agg_12", "agg_12_poisson"))
+    assert (row.mean, row.lower, row.upper) == (old.mean, old.lower, old.upper) and row.lower < row.mean < row.upper
+    assert (row.lower_in_errors, row.upper_in_errors) == (-2, 2)
