@@ -159,6 +159,18 @@ def test_od_schedule(spark):
     assert rows(both, "trip_day", "train_number") == [(day, "713"), (day, "731"), ("24.11.2022", "731")]
 
 
+def test_trains_of_one_minute_are_sorted_once(spark):
+    """Every pair of rows is a row of the schedule, but equal ones are counted until they are sorted."""
+    day = "23.11.2022"
+    schema = "trip_day STRING, line_id STRING, service_type STRING, additional_trip STRING, passes_through STRING, stop_name STRING, sched_arr STRING, sched_dep STRING"
+    data = [(day, "1", "IC", "false", "false", "A", "", f"{day} 07:30")] * 30 + [(day, "1", "IC", "false", "false", "B", f"{day} 08:{m}", "") for m in ("10", "10", "20")]
+    got = mobility.od_schedule(spark.createDataFrame(data + [(day, "1", "IC", "false", "false", "A", "", "bad")], schema), None, "A", "B")
+    assert {(r.arrival, r["n"]) for r in got.groupBy("arrival").agg(F.count(F.lit(1)).alias("n")).collect()} == {(f"{day} 08:10", 60), (f"{day} 08:20", 30)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # The sort lies below the repetition.
+    assert plan.index("Generate explode(sequence(1") < plan.index("Sort [departure_s")
+
+
 def test_graph_table_and_edges(spark):
     stops = spark.createDataFrame([("1",), ("2",), ("3",)], "stop_id STRING")
     times_ = [
