@@ -30,6 +30,9 @@ MOST = 2
 #: Newton stops when every source is this close (relative) to its target.
 CLOSE = 1e-9
 STEPS = 60
+#: Classes (source and size) up to which the plan goes to every task, so that no
+#: text is shuffled to meet it; with more, the planner's size check decides.
+PLAN_ROWS = 1 << 17
 #: Sums of decimals are exact, so reruns agree to the last bit.
 EXACT = "decimal(38,10)"
 
@@ -192,6 +195,8 @@ def _given(rows: DataFrame, planned: DataFrame) -> DataFrame:
     so that a group of them is bound to no task.
     """
     at = place([F.col("draw")], F.col("n"))
+    if planned.count() <= PLAN_ROWS:
+        planned = F.broadcast(planned)
     joined = rows.join(planned, ["skey", "words"])
     on_edge = F.col("last").isNotNull() & (at == F.col("last"))
     more = F.when(F.col("last").isNotNull() & (at < F.col("last")), 1).otherwise(0)

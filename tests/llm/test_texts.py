@@ -396,3 +396,18 @@ def test_pipeline_of_edge_rows(spark):
         for name, stage in corpus_pipeline.STAGES:
             now = corpus_pipeline.stored(stage(spark, now, FOLDER), name)
         now.count()
+
+
+def test_texts_are_not_shuffled_to_meet_the_plan(spark, monkeypatch):
+    """Whatever the planner's size check says, up to ``PLAN_ROWS`` classes; the rows are the same either way."""
+    frame = docs(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = entropy_mix.repeat_rows(frame)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        monkeypatch.setattr(entropy_mix, "PLAN_ROWS", 0)
+        assert sorted(map(str, entropy_mix.repeat_rows(frame).collect())) == sorted(map(str, got.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
