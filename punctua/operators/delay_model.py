@@ -63,22 +63,25 @@ class EventFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return safe_ts(self.getOrDefault("dueCol"), MINUTE_PATTERN)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        due, day = self.due(), safe_date(self.getOrDefault("dayCol"), DAY_PATTERN)
-        of_day = calendar_features(F.coalesce(day, due.cast("date")))
-        fields = {**of_day, "minute": F.minute(due), "hour": F.hour(due)}
+        # Columns of their own, so that a text is parsed once and not once per field.
+        due, day = F.col("__due"), F.col("__day")
+        timed = df.withColumns({"__due": self.due(), "__day": safe_date(self.getOrDefault("dayCol"), DAY_PATTERN)})
+        timed = timed.withColumn("__day", F.coalesce(day, due.cast("date")))
+        fields = {**calendar_features("__day"), "minute": F.minute(due), "hour": F.hour(due)}
         numbers = {name: F.coalesce(F.when(due.isNotNull(), value), F.lit(0)) for name, value in fields.items()}
-        return df.withColumns({
+        return timed.withColumns({
             **numbers,
             "transport_type": F.lower(self.getOrDefault("vehicleCol")),
             "stop_id": short_stop_id(strip_letters(self.getOrDefault("stopCol"), "Parent")),
-        })
+        }).drop("__due", "__day")
 
 
 def labelled_events(events: DataFrame, stage: EventFeatures | None = None, actual: str = "act_arr") -> DataFrame:
     """Raw events with a measured arrival, with ``delay_bin``; copies go."""
-    due = (stage or EventFeatures()).due()
-    rows = events.withColumn("delay_bin", delay_bin(delay_minutes(due, safe_ts(actual, SECOND_PATTERN))))
-    return rows.filter(due.isNotNull() & F.col("delay_bin").isNotNull()).distinct()
+    due, real = F.col("__due"), F.col("__real")
+    timed = events.withColumns({"__due": (stage or EventFeatures()).due(), "__real": safe_ts(actual, SECOND_PATTERN)})
+    rows = timed.filter(due.isNotNull() & real.isNotNull()).withColumn("delay_bin", delay_bin(delay_minutes(due, real)))
+    return rows.drop("__due", "__real").distinct()
 
 
 def fit_event_model(labelled: DataFrame, stage: EventFeatures | None = None, **settings) -> PipelineModel:

@@ -249,7 +249,9 @@ def cls_2_stored(spark, sf):
             both = delay_model.score_events(both, scorer).withColumnRenamed("chances", name)
         total = F.aggregate("again", F.lit(0.0), lambda a, x: a + x)
         apart = F.array_max(F.zip_with("own", "again", lambda a, b: F.abs(a - b)))
-        checked = both.select("delay_bin", F.posexplode("again").alias("bin", "p"), total.alias("total"), apart.alias("apart"))
+        # Per row, before the bins are rows of their own; no row lacks chances.
+        whole = both.select("delay_bin", "again", total.alias("total"), apart.alias("apart"))
+        checked = whole.select("delay_bin", F.posexplode_outer("again").alias("bin", "p"), "total", "apart")
         per_bin = checked.groupBy("bin").agg(
             F.sum("p").alias("expected"), F.count_if(F.col("bin") == F.col("delay_bin")).alias("n"),
             F.max(F.abs(F.col("total") - 1)).alias("off"), F.max("apart").alias("apart"), F.count(F.lit(1)).alias("rows"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from punctua.functions.registry import register_scalar
 from punctua.operators import aggregates, clustering, delay_model, regression
 from punctua.operators.relational import similar_sites
-from punctua.plans import journeys, sensors
+from punctua.plans import journeys, queries_models, sensors
 from punctua.sources import writers
 
 
@@ -273,3 +273,42 @@ def test_fewer_points_than_clusters(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (2.0,)], "x double")
     found = clustering.kmeans(df, ["x"], 4, name="c").groupBy("x").agg(F.count_distinct("c").alias("c"), F.max("c").alias("m")).collect()
     assert {r.c for r in found} == {1} and len({r.m for r in found}) == 2
+
+
+@pytest.mark.parametrize("name", ["cls_2_stored"])
+def test_delay_queries_score_no_row_for_a_filter(spark, monkeypatch, name):
+    """No filter on the chances, which would score the rows a second time; totals are taken per row, not per bin."""
+    plans = []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0])
+        return df
+
+    monkeypatch.setattr(queries_models, "cut_lineage", cut)
+    out = getattr(queries_models, name)(spark, "/root/testdata/sf0.001")
+    plan = plans[-1] if plans else out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "UDF(" in line]
+    if name == "cls_2_stored":
+        above = plan[:plan.index("Generate")]
+        assert "zip_with" not in above and "zip_with" in plan
+
+
+def test_labels_and_features_parse_a_text_once(spark):
+    events = spark.createDataFrame(
+        [("01.02.2024", "Bus", "8503000", "01.02.2024 10:00", "01.02.2024 10:03:30"), ("01.02.2024", "Bus", "8503000", "01.02.2024 10:00", "01.02.2024 10:03:30"),
+         ("01.02.2024", "Bus", "8503000", "bad", "01.02.2024 10:03:30"), ("01.02.2024", "Bus", "8503000", "01.02.2024 10:00", None)],
+        "trip_day STRING, vehicle STRING, stop_id STRING, sched_arr STRING, act_arr STRING",
+    )
+    labelled = delay_model.labelled_events(events)
+    assert [(r.act_arr, r.delay_bin) for r in labelled.collect()] == [("01.02.2024 10:03:30", 4)] and labelled.columns == [*events.columns, "delay_bin"]
+    features = delay_model.EventFeatures().transform(events)
+    assert "__due" not in features.columns and features._jdf.queryExecution().optimizedPlan().toString().count("try_to_timestamp") <= 2
+
+
+def test_an_inner_block_leaves_what_an_outer_one_keeps(spark):
+    df = spark.range(5).withColumn("x", F.col("id") * 3)
+    with writers.kept(df) as outer:
+        with writers.kept(outer) as inner:
+            assert inner.count() == 5
+        assert outer.storageLevel.useMemory
+    assert not df.storageLevel.useMemory
