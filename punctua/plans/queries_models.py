@@ -212,22 +212,23 @@ def _model_rows(spark, sf):
 @query("cls_1")
 def cls_1(spark, sf):
     """Mean predicted chance of each bin beside its frequency in the data."""
-    rows = _model_rows(spark, sf)
-    model = delay_model.fit_delay_model(rows, max_iter=100)
-    scored = delay_model.score(rows, model)
-    chances = scored.select(F.posexplode("chances").alias("delay_bin", "p")).groupBy("delay_bin").agg(F.avg("p").alias("mean_chance"))
-    total = rows.agg(F.count(F.lit(1)))
-    seen = rows.groupBy("delay_bin").agg((F.count(F.lit(1)) / total.scalar()).alias("frequency"))
-    return chances.join(seen, "delay_bin", "left").na.fill(0.0)
+    with kept(_model_rows(spark, sf)) as rows:
+        model = delay_model.fit_delay_model(rows, max_iter=100)
+        scored = delay_model.score(rows, model)
+        # No row lacks chances.  The plain form would filter the scored rows first, which scores them again.
+        chances = scored.select(F.posexplode_outer("chances").alias("delay_bin", "p")).groupBy("delay_bin").agg(F.avg("p").alias("mean_chance"))
+        total = rows.agg(F.count(F.lit(1)))
+        seen = rows.groupBy("delay_bin").agg((F.count(F.lit(1)) / total.scalar()).alias("frequency"))
+        return cut_lineage(chances.join(seen, "delay_bin", "left").na.fill(0.0))
 
 
 @query("cls_2")
 def cls_2(spark, sf):
     """Chance of staying within five minutes, per transport type."""
-    rows = _model_rows(spark, sf)
-    model = delay_model.fit_delay_model(rows, max_iter=100)
-    p = delay_model.chance_from_bins(F.col("chances"), F.lit(5.0))
-    return delay_model.score(rows, model).groupBy("transport_type").agg(row_count(), F.avg(p).alias("p_within_5"))
+    with kept(_model_rows(spark, sf)) as rows:
+        model = delay_model.fit_delay_model(rows, max_iter=100)
+        p = delay_model.chance_from_bins(F.col("chances"), F.lit(5.0))
+        return cut_lineage(delay_model.score(rows, model).groupBy("transport_type").agg(row_count(), F.avg(p).alias("p_within_5")))
 
 
 #: A model with free intercepts that has converged predicts each bin as often as it occurs.

@@ -275,7 +275,7 @@ def test_fewer_points_than_clusters(spark):
     assert {r.c for r in found} == {1} and len({r.m for r in found}) == 2
 
 
-@pytest.mark.parametrize("name", ["cls_2_stored"])
+@pytest.mark.parametrize("name", ["cls_1", "cls_2_stored"])
 def test_delay_queries_score_no_row_for_a_filter(spark, monkeypatch, name):
     """No filter on the chances, which would score the rows a second time; totals are taken per row, not per bin."""
     plans = []
