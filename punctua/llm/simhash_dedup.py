@@ -38,6 +38,10 @@ SHINGLE_WORDS = 3
 #: Seed of the contract's hash.
 HASH_SEED = 42
 _BLOCK = 1 << 16
+#: Hint of the joins with a side of several rows per document or fingerprint, or of
+#: well compressed ones.  The planner sizes it by the file it came from, before the
+#: rows were multiplied, and would send it through the driver.
+SORTED = "merge"
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -81,7 +85,7 @@ def one_bit_links(prints: DataFrame) -> DataFrame:
     ))
     halves = prints.select("print", half.alias("h")).select("print", "h.side", "h.half")
     shared = halves.groupBy("side", "half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("side", "half")
-    near = halves.join(shared, ["side", "half"])
+    near = halves.hint(SORTED).join(shared, ["side", "half"])
     # The half that is shared stays, each bit of the other one is masked.
     bit = near.select("side", "print", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("k"))
     flip = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(k + IF(side = 0, 0, 32) AS INT))")
@@ -107,7 +111,7 @@ def ring_links(prints: DataFrame, most: int = MOST) -> DataFrame:
     differ = F.col("x").bitwiseXOR(F.col("y"))
     near = (F.bit_count(F.shiftrightunsigned(differ, 16)) <= 2) & (F.bit_count(differ) <= most)
     same = (x["i"] == y["i"]) & (x["key"] == y["key"])
-    pairs = x.join(y, same & (F.col("gx") < F.col("gy")) & near)
+    pairs = x.hint(SORTED).join(y, same & (F.col("gx") < F.col("gy")) & near)
     back = [F.coalesce(*[F.when(x["i"] == i, _rotate(F.col(c), 64 - 16 * i)) for i in range(4)]) for c in ("x", "y")]
     return pairs.select(back[0].alias("a"), back[1].alias("b")).distinct()
 
@@ -127,7 +131,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has one.  Other columns are ignored; an empty table gives an empty result.
     """
     rows, groups = _grouped(docs, id_col, text_col, most)
-    out = rows.join(groups.select("print", "component_id"), "print")
+    out = rows.hint(SORTED).join(groups.select("print", "component_id"), "print")
     return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 

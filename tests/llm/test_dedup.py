@@ -1,6 +1,7 @@
 """Near duplicates of texts and of embeddings against brute force."""
 
 import random
+import re
 
 import numpy as np
 import xxhash
@@ -80,6 +81,17 @@ def test_links_of_planted_fingerprints(spark):
     assert {tuple(sorted(r)) for r in found} == near
 
 
+def test_rows_made_of_fingerprints_are_not_sent_through_the_driver(spark, tmp_path):
+    """The planner takes a side for as small as it was before explode or in its file."""
+    spark.range(500).select(F.xxhash64("id").alias("print"), F.xxhash64("id").alias("group")).write.parquet(str(tmp_path / "prints"))
+    prints = spark.read.parquet(str(tmp_path / "prints"))
+    texts = spark.createDataFrame([(k, f"text {k % 3}") for k in range(9)], "doc_id bigint, text string")
+    for frame in (simhash_dedup.one_bit_links(prints), simhash_dedup.ring_links(prints), simhash_dedup.near_duplicates(texts).select("doc_id", "fingerprint")):
+        frame.collect()
+        joins = re.findall(r"(\w+Join)\b", frame._jdf.queryExecution().executedPlan().toString())
+        assert "SortMergeJoin" in joins and "BroadcastHashJoin" not in joins[:1]
+
+
 def test_near_duplicates_of_edge_rows(spark):
     rows = docs(spark)
     got = simhash_dedup.near_duplicates(rows).collect()
