@@ -163,7 +163,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     empty table gives an empty result.
     """
     rows, groups = _grouped(docs, id_col, text_col, most)
-    known = rows.join(groups, "print").filter("doc_id IS NOT NULL")
+    known = rows.hint(SORTED).join(groups, "print").filter("doc_id IS NOT NULL")
     # The survivor of a group: its smallest id and, of that, the smallest fingerprint.
     best = known.filter("doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("doc_id"), F.min("print").alias("print"))
     best = stored(best.select("doc_id", "print"), "survivors")

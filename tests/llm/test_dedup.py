@@ -92,6 +92,21 @@ def test_rows_made_of_fingerprints_are_not_sent_through_the_driver(spark, tmp_pa
         assert "SortMergeJoin" in joins and "BroadcastHashJoin" not in joins[:1]
 
 
+def test_the_pipeline_keeps_one_without_sending_rows_through_the_driver(spark, monkeypatch):
+    """The stage looks up the group of every row, which its compressed file makes look small."""
+    texts = spark.createDataFrame([(k, f"text {k % 3} of a few") for k in range(9)], "doc_id bigint, text string")
+    plans, store = [], simhash_dedup.stored
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return store(df, name)
+
+    monkeypatch.setattr(simhash_dedup, "stored", seen)
+    assert sorted(r.doc_id for r in simhash_dedup.keep_one(texts).collect()) == [0, 1, 2]
+    (ids,) = [text for name, text in plans if name == "ids"]
+    assert "SortMergeJoin" in ids
+
+
 def test_near_duplicates_of_edge_rows(spark):
     rows = docs(spark)
     got = simhash_dedup.near_duplicates(rows).collect()
