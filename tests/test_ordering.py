@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from punctua.operators import joins, series
+from punctua.operators import joins, ordering, series
 from punctua.operators.mobility import trip_edges
 from punctua.operators.ordering import chunk_if_long, every, exact_quantile, number_rows, running
 from punctua.sources import catalog
@@ -59,6 +59,18 @@ def test_chunk_if_long(skewed):
     assert chunk_if_long(df, ["k"], F.col("t"), most=300) is not None
 
 
+@pytest.mark.parametrize("classes, listed", [(1, 1000), (1, 0), (3, 1000), (1 << 16, 1000)])
+def test_chunk_if_long_counts_classes_first(spark, skewed, monkeypatch, classes, listed):
+    """Keys that share a class are counted apart, and no class of them is taken for a key."""
+    monkeypatch.setattr(ordering, "KEY_CLASSES", classes)
+    monkeypatch.setattr(ordering, "LISTED", listed)
+    test_chunk_if_long(skewed)
+    short = spark.range(1000).select((F.col("id") % 100).alias("k"), F.col("id").alias("t"))
+    assert chunk_if_long(short, ["k"], F.col("t"), most=10) is None
+    assert chunk_if_long(short, ["k"], F.col("t"), most=9) is not None
+    assert chunk_if_long(short.filter("k < 0"), ["k"], F.col("t"), most=9) is None
+
+
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.99, 1.0])
 def test_exact_quantile(skewed, q):
     df, pdf = skewed
